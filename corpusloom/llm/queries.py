@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import exact_dedup, mixing, sharding
+from corpusloom.llm import exact_dedup, mixing, sharding, simhash
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_mixing": mixing.op5_mixing,
     "op6_sharding": sharding.op6_sharding,
+    "op10_simhash": simhash.op10_simhash,
 }
 ORACLE_SQL = {**exact_dedup.ORACLE, **mixing.ORACLE, **sharding.ORACLE}
