@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import exact_dedup, mixing, sharding, simhash
+from corpusloom.llm import exact_dedup, mixing, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_mixing": mixing.op5_mixing,
     "op6_sharding": sharding.op6_sharding,
+    "op8_quality": quality.op8_quality,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_simhash": simhash.op10_simhash,
 }
 ORACLE_SQL = {**exact_dedup.ORACLE, **mixing.ORACLE, **sharding.ORACLE}
