@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ def octets(column: pa.Array) -> list[bytes]:
 
 def pieces(batch: pa.RecordBatch, text: str, most: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch that hold about `most` bytes of text each, one row at least."""
-    size = np.cumsum(np.array(pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0), dtype=np.int64))
+    size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0)).astype(np.int64))
     at = 0
     while at < batch.num_rows:
         end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, "right")))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import exact_dedup, mixing, quality, sharding, simhash, toxicity
+from corpusloom.llm import decontaminate, exact_dedup, mixing, quality, sharding, simhash, toxicity
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_mixing": mixing.op5_mixing,
     "op6_sharding": sharding.op6_sharding,
