@@ -88,24 +88,53 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     doc_id is ordered as the empty text. Repeated rows count each. No rows, no result; if no words, targets are 0. Other
     columns are ignored. Sources are taken to be few enough for one sort of one row each.
     """
-    sized = staged(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", n_words(F.col("text")).alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("digest"), F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("crc")), "mix-sizes")
-    targets = source_targets(sized, weights, share, most)
-    plans = F.element_at(F.array(*[_segments(c) for c in curriculum]), (F.col("rank") % len(curriculum) + 1).cast("int"))
-    targets = staged(targets.withColumn("plan", plans).withColumnRenamed("source", "of"), "mix-targets")  # a few rows, of known size to the planner
-    placed = prefix_sums(sized, ["source"], "size", ["doc_id", "crc", "size"], "digest", cuts(sized))
-    x = placed.join(targets, placed["source"].eqNullSafe(targets["of"]))
-    whole = F.floor("target").cast("bigint")
-    full = F.coalesce(F.expr("try_divide(floor(target), source_size)"), F.lit(0.0)).cast("bigint")  # whole rounds
-    rest = whole - full * F.col("source_size")
-    part = F.least(F.greatest(rest - F.col("before"), F.lit(0)), F.col("size"))
-    x = x.withColumn("full", full).withColumn("part", part)
+    sized = staged(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", n_words(F.col("text")).alias("size"), _digest(), _crc()), "mix-sizes")
+    x = _placed(sized, sized, weights, share, most, curriculum)
     visits = F.when(F.col("size") > 0, F.col("full") + (F.col("part") > 0).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
     x = x.withColumn("rounds", visits).withColumn("taken", F.col("full") * F.col("size") + F.col("part"))
-    at = lambda turn: F.when(F.col("rounds") > 0, position_of((F.col("before") + turn * F.col("source_size")) / F.col("target"), F.col("plan")))
+    at = lambda turn: F.when(F.col("rounds") > 0, _position(turn))
     x = x.select("doc_id", "size", "source_size", "target", "taken", "rounds", at(F.lit(0)).alias("position"), at(F.col("rounds") - 1).alias("last_position"))
     return x.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
+def _digest() -> Column:
+    return F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("digest")
+
+
+def _crc() -> Column:
+    return F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("crc")
+
+
+def _position(turn: Column) -> Column:
+    return position_of((F.col("before") + turn * F.col("source_size")) / F.col("target"), F.col("plan"))
+
+
+def _placed(rows: DataFrame, sized: DataFrame, weights: Sequence[float], share: float, most: float, curriculum: Sequence[Schedule]) -> DataFrame:
+    """rows with their source's numbers, `before`, whole rounds (`full`) and words of the last one (`part`)."""
+    targets = source_targets(sized, weights, share, most)
+    plans = F.element_at(F.array(*[_segments(c) for c in curriculum]), (F.col("rank") % len(curriculum) + 1).cast("int"))
+    targets = staged(targets.withColumn("plan", plans).withColumnRenamed("source", "of"), "mix-targets")  # a few rows, of known size to the planner
+    placed = prefix_sums(rows, ["source"], "size", ["doc_id", "crc", "size"], "digest", cuts(sized))
+    x = placed.join(targets, placed["source"].eqNullSafe(targets["of"]))
+    full = F.coalesce(F.expr("try_divide(floor(target), source_size)"), F.lit(0.0)).cast("bigint")
+    rest = F.floor("target").cast("bigint") - full * F.col("source_size")
+    return x.withColumn("full", full).withColumn("part", F.least(F.greatest(rest - F.col("before"), F.lit(0)), F.col("size")))
+
+
+def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, curriculum: Sequence[Schedule] = CURRICULUM) -> DataFrame:
+    """The documents themselves, one row for each visit of mix(), in training order, with their own columns.
+
+    Documents stay whole here: the visit in which the target is reached counts if it takes half of the document at least.
+    """
+    size = n_words(F.col("text")).alias("size")
+    sized = staged(docs.select("source", size), "mix-sizes")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", size, _digest(), _crc(), F.struct("*").alias("doc"))
+    x = _placed(rows, sized, weights, share, most, curriculum)
+    visits = F.when(F.col("size") > 0, F.col("full") + (F.col("part") * 2 >= F.col("size")).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    x = x.withColumn("turn", F.explode(F.slice(F.sequence(F.lit(0).cast("bigint"), visits), 2, F.greatest(visits, F.lit(0)).cast("int"))))
+    return x.select("doc", _position(F.col("turn") - 1).alias("position"), "doc_id").orderBy("position", "doc_id").select("doc.*")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 

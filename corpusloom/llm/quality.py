@@ -155,5 +155,10 @@ def classify_quality(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: i
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def without_rejected(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, most: int = MOST_LABELS) -> DataFrame:
+    """The documents that score 0.5 or more, with all their columns; nothing is shuffled."""
+    return docs.filter(quality_score(fit_quality(docs, labels, "quality", folds, fold, most)) >= 0.5)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -204,5 +204,14 @@ def simhash_groups(docs: DataFrame, words: int = 3, budget: int = 3) -> DataFram
     return slim.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def one_of_each_group(docs: DataFrame, words: int = 3, budget: int = 3) -> DataFrame:
+    """The document with the smallest doc_id of each component, with all its columns; of rows that repeat that id, one."""
+    groups = staged(simhash_groups(docs, words, budget), "simhash-groups")
+    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
+    again = not kept.groupBy("_kept").count().filter("count > 1").isEmpty()
+    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return out.dropDuplicates(["doc_id"]) if again else out
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
