@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import decontaminate, exact_dedup, lm_score, mixing, quality, sharding, simhash, toxicity
+from corpusloom.llm import decontaminate, exact_dedup, line_dedup, lm_score, mixing, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_mixing": mixing.op5_mixing,
     "op6_sharding": sharding.op6_sharding,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_quality": quality.op8_quality,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_simhash": simhash.op10_simhash,
