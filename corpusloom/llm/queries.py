@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import decontaminate, exact_dedup, line_dedup, lm_score, mixing, quality, sharding, simhash, toxicity
+from corpusloom.llm import decontaminate, exact_dedup, line_dedup, lm_score, mixing, quality, sharding, simhash, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_lm_score": lm_score.op3_lm_score,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_mixing": mixing.op5_mixing,
