@@ -680,7 +680,7 @@ def launch_plan(s, d):
     return s.createDataFrame([(x.index, x.site, x.cluster, len(x.chunks)) for x in plan], "index int, site string, cluster string, chunks int")
 
 
-@query("SELECT event_id, list_filter(list_distinct([least(f, w), least(g, f, w)]), lambda x: x > 0)[1] AS first, len(list_filter(list_distinct([least(f, w), least(g, f, w)]), lambda x: x > 0)) AS rungs FROM (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_id % 7 ELSE 4 END AS f, CASE WHEN event_id % 2 = 0 THEN event_id % 5 ELSE coalesce(CASE WHEN event_id % 3 = 0 THEN 2 END, 4) END AS g, event_id % 6 AS w FROM events)")
+@query("SELECT event_id, CASE WHEN a > 0 THEN a WHEN c > 0 THEN c END AS first, CAST(a > 0 AS BIGINT) + CAST(c > 0 AND c <> a AS BIGINT) AS rungs FROM (SELECT event_id, least(f, w) AS a, least(g, f, w) AS c FROM (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_id % 7 ELSE 4 END AS f, CASE WHEN event_id % 2 = 0 THEN event_id % 5 ELSE coalesce(CASE WHEN event_id % 3 = 0 THEN 2 END, 4) END AS g, event_id % 6 AS w FROM events))")
 def walltime_ladder(s, d):
     k = F.col("event_id")
     ladder = schedule.walltime_ladder(k % 6, k % 2 == 0, F.lit(4).cast("bigint"), k % 7, k % 5, F.when(k % 3 == 0, F.lit(2).cast("bigint")))
