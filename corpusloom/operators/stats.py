@@ -63,9 +63,8 @@ def useful_fraction(jobs: DataFrame) -> DataFrame:
         t.stopped_early(F.col("stopped"), left, F.col("walltime_s")).alias("early"),
     )
     share = F.coalesce(F.try_divide(F.count_if("early"), F.count(F.lit(1))), F.lit(None).cast("double"))
-    return rows.groupingSets([["gpu"], []], "gpu").agg(
-        F.count(F.lit(1)).alias("jobs"), F.try_divide(F.sum("s"), F.sum("walltime_s")).alias("useful_fraction"), share.alias("stopped_early"), (F.lit(1.0) - share).alias("ran_to_checkpoint")
-    )
+    measures = [F.count(F.lit(1)).alias("jobs"), F.try_divide(F.sum("s"), F.sum("walltime_s")).alias("useful_fraction"), share.alias("stopped_early"), (F.lit(1.0) - share).alias("ran_to_checkpoint")]
+    return rows.groupBy("gpu").agg(*measures).unionByName(rows.agg(F.lit(None).cast("string").alias("gpu"), *measures))  # all of none has a row, too
 
 
 def live(assignments: DataFrame, fingerprint: Column) -> DataFrame:

@@ -22,7 +22,7 @@ def read_ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
     The last line may be torn if it lacks its line feed, and is then left out; any other bad line is an error
     when it is read. A ledger is a file of one writer, so it is one split.
     """
-    text = spark.read.option("wholetext", "true").text(path).select(F.split("value", "\n").alias("lines"))
+    text = spark.read.text(path, wholetext=True).select(F.split("value", "\n").alias("lines"))
     lines = text.select(F.posexplode("lines").alias("seq", "line"), F.size("lines").alias("n")).filter(F.trim("line") != "")
     parsed = lines.withColumn("row", F.from_json("line", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
     torn = F.col("seq") == F.col("n") - 1

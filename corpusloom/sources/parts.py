@@ -55,7 +55,7 @@ def manifest(part: DataFrame) -> DataFrame:
 
 def read_manifests(spark: SparkSession, glob: str) -> DataFrame:
     """chunk_id, part_id, text_sha256 of the readable manifests; malformed ones are left out, to be fetched again."""
-    text = spark.read.option("wholetext", "true").text(glob).select("value", last_components(F.col("_metadata.file_path")).alias("key"))
+    text = spark.read.text(glob, wholetext=True).select("value", last_components(F.col("_metadata.file_path")).alias("key"))
     return manifest_rows(text, F.col("value"))
 
 
