@@ -12,6 +12,7 @@ from corpusloom.functions.text import stripped
 #: Versions the rules below; results parsed under another version are parsed again.
 PARSER_VERSION = "2"
 THINK_END = "</think>"
+#: Fixed value: how stored outputs mark a prompt that does not fit.
 TOO_LONG = "luf_failure:input_too_long:"
 MOST_TOKENS = 2_147_483_647
 #: Answers of other languages.
