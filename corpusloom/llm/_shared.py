@@ -79,18 +79,17 @@ def prefix_sums(df: DataFrame, keys: list[str], amount: str, order: list[str], d
     """
     from pyspark.sql import Window
 
-    cut = df.withColumn("_cut", F.substring(digest, 1, digits))
-    group = [*keys, "_cut"]
+    # Keys that can't be null, under one name on both sides: the window's shuffle then serves the join, too.
+    names = [f"_key{i}" for i in range(2 * len(keys))]
+    plain = [c for k in keys for c in (F.col(k).isNull(), F.coalesce(F.col(k).cast("string"), F.lit("")))]
+    cut = df.withColumns(dict(zip(names, plain, strict=True)) | {"_cut": F.substring(digest, 1, digits)})
+    group = [*names, "_cut"]
     sums = cut.groupBy(*group).agg(F.sum(amount).alias("_sum"))
-    earlier = Window.partitionBy(*keys).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*names).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_base", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum")
     inside = Window.partitionBy(*group).orderBy(digest, *order).rowsBetween(Window.unboundedPreceding, -1)
     cut = cut.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
-    same = [cut[k].eqNullSafe(sums[k]) for k in group]
-    on = same[0]
-    for x in same[1:]:
-        on = on & x
-    return cut.join(sums, on).select(*[cut[c] for c in df.columns], (cut["_inside"] + sums["_base"]).alias("before"))
+    return cut.join(sums, group).select(*df.columns, (F.col("_inside") + F.col("_base")).alias("before"))
 
 
 def cuts(df: DataFrame, per_cut: int = 1 << 20, least: int = 2) -> int:
