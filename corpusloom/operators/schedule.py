@@ -81,6 +81,12 @@ def ranked_slots(rows: DataFrame, setup_s: float) -> DataFrame:
     return good.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("useful"), "site", "cluster")) - 1)
 
 
+def enough_slots(ranked: DataFrame, most_total: int, most_per_site: int) -> DataFrame:
+    """The slots that a LaunchPlan can come to: each has a node at least, so a site's further slots and all after most_total are never reached."""
+    place = F.row_number().over(Window.partitionBy("site").orderBy("rank"))
+    return ranked.withColumn("place", place).filter(F.col("place") <= most_per_site).drop("place").orderBy("rank").limit(most_total)
+
+
 def greedy_prefix(pending: DataFrame, taken: DataFrame, budget: Column, by: str | None = None) -> DataFrame:
     """The chunks a job gets: in plan order, without taken ones, until the next would go over budget; the first always.
 

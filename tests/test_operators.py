@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.identity import chunk_id
 from corpusloom.operators import assemble, geo, planning, quality, resolve, schedule, stats
+from corpusloom.plans import queries
 from corpusloom.sources import ledgers, parts, readers
 
 
@@ -173,6 +174,16 @@ def test_capacity_and_launches(spark):
     assert rows(schedule.greedy_prefix(p, taken, F.lit(1)), "chunk_id") == [("c0",)]
 
 
+def test_launch_plan_reaches_all_sites_and_orders(spark, tmp_path):
+    spark.range(1, 10_001).selectExpr("id AS s_suppkey", "id % 25 AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(5000).selectExpr("id AS o_orderkey", "500L AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    slots = schedule.ranked_slots(queries._slots(spark, str(tmp_path)), 480.0).orderBy("rank").collect()
+    want = schedule.LaunchPlan(12, 4).fill([(str(r.site), str(r.cluster), r.free_nodes, r.useful) for r in slots], [(str(i), 500) for i in range(5000)], [])
+    got = rows(queries.launch_plan(spark, str(tmp_path)))
+    assert got == sorted([(x.index, x.site, x.cluster, len(x.chunks)) for x in want], key=str)
+    assert len(got) == 12 and sum(r[3] for r in got) > 2000
+
+
 def test_ledgers(spark, tmp_path):
     path = str(tmp_path / "l.jsonl")
     ledgers.append_ledger(path, [{"k": "a", "v": 1}, {"k": "b", "v": 2}])
