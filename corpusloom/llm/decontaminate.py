@@ -4,7 +4,8 @@ A document leaks an item of n words if some window of n words of it (or what the
 floor(0.2 n) word edits of the item. The CGK random walk (Chakraborty, Goldenberg and Koucky, 2016) embeds windows and
 items so that edit distance becomes Hamming distance; bit-sampling LSH over the embeddings, repeated until the target
 recall is reached, proposes pairs, and the exact edit distance decides. Windows that by the q-gram lemma can't be
-within the distance of any item of their size are not embedded; that loses nothing.
+within the distance of any item of their size are not embedded; that loses nothing. Items too short for grams allow one edit
+at most: their windows are looked up whole, or with each word left out, which finds all of them.
 """
 
 from __future__ import annotations
@@ -21,9 +22,10 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm._shared import octets, pieces, table
 
+#: The q-gram lemma leaves a gram, and AGREEMENT holds, from this similarity up.
 SIMILARITY = 0.8
-#: Items of fewer words are not looked for: they are common phrases.
-LEAST_WORDS = 6
+#: Items of fewer words are looked up exactly.
+SHORT = 6
 GRAM = 3
 #: Coordinates of the embedding that a hash samples, and hashes; see recall_repeats.
 COORDINATES, RECALL = 2, 0.99
@@ -65,11 +67,11 @@ class Items:
         return self.kept[n, repeats]
 
     @staticmethod
-    def of(rows: list[tuple[int | None, str | None]], least: int = LEAST_WORDS) -> Items:
+    def of(rows: list[tuple[int | None, str | None]]) -> Items:
         texts: dict[tuple[bytes, ...], list[int | None]] = {}
         for item, text in rows:
             key = tuple(tokens((text or "").encode()))
-            if len(key) >= least:
+            if key:
                 texts.setdefault(key, []).append(item)
         words: dict[bytes, int] = {}
         coded = [[words.setdefault(w, len(words)) for w in key] for key in texts]
@@ -77,7 +79,7 @@ class Items:
         for n in sorted({len(c) for c in coded}):
             of_n = [i for i, c in enumerate(coded) if len(c) == n]
             sizes[n] = (np.array(of_n), np.array([coded[i] for i in of_n], np.int64))
-        pairs = sorted({(int(g), n) for n, (_, rows_) in sizes.items() for row in rows_ for g in gram_codes(row, len(words))})
+        pairs = sorted({(int(g), n) for n, (_, rows_) in sizes.items() if n >= SHORT for row in rows_ for g in gram_codes(row, len(words))})
         code, of = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
         grams, first = np.unique(code, return_index=True)
         return Items(list(texts.values()), words, sizes, grams, np.append(first, len(code)), of)
@@ -156,12 +158,39 @@ def proposals(windows: np.ndarray, hashed: list[tuple[np.ndarray, np.ndarray, np
     return pairs // n_items, pairs % n_items
 
 
-def _starts(hits: np.ndarray, n: int, need: int) -> np.ndarray:
+def looked_up(windows: np.ndarray, length: np.ndarray, items: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (window, item) that are equal or, if `most` is 1, differ in one word at most; few others (hashes meet)."""
+
+    def same(who: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys = []
+        for x in (a, b):
+            key = np.zeros(len(x), np.uint64)
+            for j in range(x.shape[1]):
+                key = (key ^ x[:, j].astype(np.int64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                key ^= key >> np.uint64(29)
+            keys.append(key)
+        order = np.argsort(keys[1], kind="stable")
+        low, high = (np.searchsorted(keys[1][order], keys[0], side) for side in ("left", "right"))
+        row = np.repeat(np.arange(len(a)), high - low)
+        return who[row], order[np.repeat(low, high - low) + np.arange(len(row)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)]
+
+    n, whole = items.shape[1], np.flatnonzero(length == items.shape[1])
+    found = [same(whole, windows[whole], items)]
+    if most:
+        cut = np.flatnonzero(length == n - 1)
+        for k in range(n):
+            left = np.delete(items, k, axis=1)
+            found += [same(whole, np.delete(windows[whole], k, axis=1), left), same(cut, windows[cut, : n - 1], left)]
+    pairs = np.unique(np.concatenate([w * len(items) + i for w, i in found]))
+    return pairs // len(items), pairs % len(items)
+
+
+def _starts(hits: np.ndarray, n: int, need: int, gram: int = GRAM) -> np.ndarray:
     """Starts of windows of n words that hold at least `need` of the (sorted) gram positions."""
     if len(hits) < need:
         return np.zeros(0, np.int64)
     first, last = hits[: len(hits) - need + 1], hits[need - 1 :]
-    low = last - (n - GRAM)
+    low = last - (n - gram)
     ok = low <= first
     low, high = low[ok], first[ok] + 1
     if not len(low):
@@ -173,6 +202,8 @@ def _starts(hits: np.ndarray, n: int, need: int) -> np.ndarray:
 
 def leaks(texts: list[bytes], items: Items, similarity: float = SIMILARITY, repeats: int | None = None) -> np.ndarray:
     """Rows (text, distinct item, distance, start): the best window of each text and item that leak."""
+    if similarity < SIMILARITY:
+        raise ValueError(f"similarity must be {SIMILARITY} at least")
     none = np.zeros((0, 4), np.int64)
     repeats = repeats or recall_repeats()
     if not items.sizes:
@@ -185,7 +216,7 @@ def leaks(texts: list[bytes], items: Items, similarity: float = SIMILARITY, repe
     codes = gram_codes(line, len(items.words))
     known = np.flatnonzero(codes >= 0)
     at = np.searchsorted(items.grams, codes[known])
-    hit = items.grams[np.minimum(at, len(items.grams) - 1)] == codes[known]
+    hit = items.grams[np.minimum(at, len(items.grams) - 1)] == codes[known] if len(items.grams) else np.zeros(len(known), bool)
     known, at = known[hit], at[hit]
     count = items.gram_from[at + 1] - items.gram_from[at]
     where = np.repeat(known, count)
@@ -197,7 +228,12 @@ def leaks(texts: list[bytes], items: Items, similarity: float = SIMILARITY, repe
         hashed = None
         most = int(np.floor(n * (1 - similarity) + 1e-9))
         lo, hi = np.searchsorted(sizes, [n, n + 1])
-        starts = _starts(where[lo:hi], n, max(1, n - GRAM + 1 - GRAM * most))
+        if n < SHORT:
+            of_n = np.zeros(len(items.words) + 1, bool)  # the last one is for words in no item
+            of_n[words] = True
+            starts = _starts(np.flatnonzero(of_n[np.maximum(line, -1)]), n, n - most, 1)
+        else:
+            starts = _starts(where[lo:hi], n, max(1, n - GRAM + 1 - GRAM * most))
         text = np.searchsorted(ends, np.maximum(starts, 0), "right")
         begin = np.where(text > 0, ends[np.maximum(text, 1) - 1], 0)
         starts_in = np.maximum(starts, begin)
@@ -208,8 +244,11 @@ def leaks(texts: list[bytes], items: Items, similarity: float = SIMILARITY, repe
             s, t, m, b = (x[cut : cut + (1 << 15)] for x in (starts, text, length, begin))
             grid = s[:, None] + np.arange(n)
             windows = np.where(np.arange(n) < m[:, None], line[np.minimum(grid, len(line) - 1)], -2)
-            hashed = hashed or items.hashed(n, repeats)
-            w, k = proposals(windows, hashed, len(words))
+            if n < SHORT:
+                w, k = looked_up(windows, m, words, most)
+            else:
+                hashed = hashed or items.hashed(n, repeats)
+                w, k = proposals(windows, hashed, len(words))
             for part in range(0, len(w), 1 << 14):
                 x, y = w[part : part + (1 << 14)], k[part : part + (1 << 14)]
                 distance = edit_distances(windows[x], m[x], words[y])
@@ -228,15 +267,16 @@ def item_blocks(benchmark: DataFrame, most: int = ITEMS_AT_ONCE) -> Iterator[Ite
     while block := [(r[0], r[1]) for r in islice(rows, most)]:
         items = Items.of(block)
         for n in items.sizes:  # once here, not in every task
-            items.hashed(n, recall_repeats())
+            if n >= SHORT:
+                items.hashed(n, recall_repeats())
         yield items
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Returns doc_id, item_id, distance, start (in words), n_words: each leaked item of each leaking document, at its best window.
 
-    Words are lower-cased runs of letters and digits. Null and empty texts leak nothing and aren't leaked, nor are items
-    of fewer than LEAST_WORDS words; null ids come back as null; items with the same words are all reported, as are
+    Words are lower-cased runs of letters and digits. Null and empty texts leak nothing and aren't leaked; items of any
+    number of words are looked for, those of up to four only as they are; null ids come back as null; items with the same words are all reported, as are
     repeated documents; empty tables give an empty result; other columns are ignored.
     """
     schema = "doc_id long, item_id long, distance int, start long, n_words int"
@@ -262,7 +302,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents that leak no item, with all their columns; nothing is shuffled."""
+    """The documents that leak no item, with all their columns; nothing is shuffled.
+
+    Null and empty texts leak nothing and stay; repeated rows stay or go together; an empty table on either side drops nothing.
+    """
 
     def clean_of(items: Items):
         @F.arrow_udf("boolean")

@@ -6,6 +6,9 @@ n + 1 shards moves one row in n + 1, each of them into the new shard.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,28 +53,49 @@ def jump_shard(key: Column, shards: int) -> Column:
     return done["b"].cast("int")
 
 
-def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
+#: Hex digits of a place that tell the file.
+FILE_DIGITS = 8
+
+
+def file_order(docs: DataFrame) -> Column | None:
+    """Where a row stands in the files that docs was read from, as hex digits that sort alike; None if it isn't read from files.
+
+    Spark numbers the files of a sorted write in order, so this is the order in which the rows were sorted.
+    """
+    number = F.coalesce(F.expr("try_cast(regexp_extract(_metadata.file_name, 'part-([0-9]+)', 1) as bigint)"), F.lit(0).cast("bigint"))
+    place = F.concat(F.lpad(F.hex(number), FILE_DIGITS, "0"), F.lpad(F.hex(F.col("_metadata.row_index")), 12, "0"))
+    try:
+        docs.select(place)
+    except AnalysisException:
+        return None
+    return place
+
+
+def shard_documents(docs: DataFrame, shards: int, in_file_order: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Deals documents out to shards by doc_id.
 
     Returns doc_id, size (UTF-8 bytes plus 1), text_crc32, law ('key'), shard, slot (gapless from 0 within
-    the shard, in the order of md5(doc_id), so a shard reads in shuffled order) and grown_shard (the shard
-    with one shard more). One output row for each input row. A null doc_id is keyed as 0; a null text counts as empty for
-    size and is a text of its own only in that its crc is that of the empty text; repeated rows take
+    the shard, in the order of md5(doc_id), so a shard reads in shuffled order), grown_shard (the shard
+    with one shard more) and the columns of `keep`. With in_file_order, slots follow the order of the rows in the files that docs
+    was read from: each shard then holds its part of that order. One output row for each input row. A null doc_id is keyed as 0; a
+    null text counts as empty for size and is a text of its own only in that its crc is that of the empty text; repeated rows take
     neighbouring slots; an empty table gives an empty result; other columns are ignored.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0))
+    place = file_order(docs) if in_file_order else None
     slim = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.octet_length(text).cast("bigint") + 1).alias("size"),
         F.crc32(text).alias("text_crc32"),
         jump_shard(key, shards).alias("shard"),
         jump_shard(key, shards + 1).alias("grown_shard"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_digest"),
+        (F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) if place is None else place).alias("_digest"),
         F.lit(1).cast("bigint").alias("_one"),
+        F.struct(*keep).alias("_kept") if keep else F.lit(None).alias("_kept"),
     )
-    placed = prefix_sums(slim, ["shard"], "_one", ["doc_id", "text_crc32", "size"], "_digest", cuts(docs))
-    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("before").alias("slot"), "grown_shard")
+    placed = prefix_sums(slim, ["shard"], "_one", ["doc_id", "text_crc32", "size"], "_digest", cuts(docs) if place is None else FILE_DIGITS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("before").alias("slot"), "grown_shard", *[F.col(f"_kept.{c}").alias(c) for c in keep])
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

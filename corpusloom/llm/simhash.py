@@ -205,14 +205,17 @@ def simhash_groups(docs: DataFrame, words: int = 3, budget: int = 3) -> DataFram
 
 
 def one_of_each_group(docs: DataFrame, words: int = 3, budget: int = 3) -> DataFrame:
-    """The document with the smallest doc_id of each component, with all its columns; of rows that repeat that id, one."""
+    """The document with the smallest doc_id of each component, with all its columns; of rows that repeat that id, one.
+
+    Null texts are in the component of empty ones; a null doc_id stays only where no other id is in its component.
+    """
     groups = staged(simhash_groups(docs, words, budget), "simhash-groups")
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     if groups.groupBy("doc_id").count().filter("count > 1").isEmpty():  # ids are rows: name those that go, which are fewer
         gone = staged(groups.filter(~first).select(F.col("doc_id").alias("_gone")), "simhash-gone")
-        return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+        return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
     kept = groups.filter(first).select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates(["doc_id"])
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

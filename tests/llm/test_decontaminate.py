@@ -23,7 +23,7 @@ def brute(texts, items):
             want = tokens((of or "").encode())
             n = len(want)
             most = int(n * 0.2 + 1e-9)
-            if n < 6:
+            if not n:
                 continue
             best = min((distance(words[s : s + n], want) for s in range(len(words)) if len(words) - s >= n - most), default=n)
             if best <= most:
@@ -94,9 +94,38 @@ def test_table_form(spark):
     docs = documents(spark, [(1, f"so {item} end"), (2, f"{near}!"), (3, "alpha beta gamma and nothing else here at all"), (4, None), (5, ""), (None, item), (1, item)])
     bench = spark.createDataFrame([(7, item), (8, item), (9, None), (10, ""), (11, "so")], "item_id long, text string")
     got = rows(contaminated(docs, bench).select("doc_id", "item_id", "distance", "start"))
-    assert got == sorted([(1, 7, 0, 1), (1, 8, 0, 1), (1, 7, 0, 0), (1, 8, 0, 0), (2, 7, 1, 0), (2, 8, 1, 0), (None, 7, 0, 0), (None, 8, 0, 0)], key=str)
+    assert got == sorted([(1, 11, 0, 0), (1, 7, 0, 1), (1, 8, 0, 1), (1, 7, 0, 0), (1, 8, 0, 0), (2, 7, 1, 0), (2, 8, 1, 0), (None, 7, 0, 0), (None, 8, 0, 0)], key=str)
     kept = without_leaks(docs, bench)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [3, 4, 5]
     empty = bench.filter("false")
     assert rows(contaminated(docs, empty)) == [] and without_leaks(docs, empty).count() == 7
     assert rows(contaminated(docs.filter("false"), bench)) == []
+
+
+def test_short_items_are_found_exactly():
+    rng = random.Random(8)
+    vocabulary = [f"{a}{b}" for a in "the an on re".split() for b in "a er ly".split()]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(n))) for i, n in enumerate([1, 2, 3, 4, 5, 5, 5, 5, 5])]
+    items += [(20, "zz only here"), (21, "zz two"), (22, items[4][1])]
+    texts = ["", "zz", items[4][1].rsplit(" ", 1)[0], items[5][1].split(" ", 1)[1]]
+    for _ in range(400):
+        body = [rng.choice([*vocabulary, "x", "y"]) for _ in range(rng.randrange(0, 30))]
+        words = rng.choice(items)[1].split()
+        at = rng.randrange(len(body) + 1)
+        texts.append(" ".join(body[:at] + edited(rng, words, rng.randrange(0, 2), vocabulary) + body[at:]))
+    found = Items.of(items)
+    got = {(t, i, d) for t, k, d, _ in leaks([t.encode() for t in texts], found).tolist() for i in found.ids[k]}
+    want = brute(texts, items)
+    assert got == want and len({i for _, i, _ in want}) > 8
+
+
+def test_searched_pieces_hide_nothing(spark, monkeypatch):
+    """Long texts, and batches of more than one piece."""
+    from corpusloom.llm import decontaminate
+
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    texts = [(i, f"{'so it goes ' * 3000}{item if i % 3 else ''}{' and on' * (i * 500)}") for i in range(9)]
+    monkeypatch.setattr(decontaminate, "PIECE", 40_000)
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = decontaminate.contaminated(documents(spark, texts), bench).collect()
+    assert sorted((r.doc_id, r.distance, r.start) for r in got) == [(i, 0, 9000) for i in range(9) if i % 3]

@@ -3,7 +3,7 @@ from collections import Counter
 
 import corpus_pipeline
 from corpusloom.llm.decontaminate import Items, leaks
-from tests.llm.helpers import documents
+from tests.llm.helpers import F, documents
 
 PROSE = "the river runs over stones and trees while people walk slowly under the grey morning sky of town near ice".split()
 ITEM = "zeta eta theta iota kappa lambda mu nu xi omicron pi rho"
@@ -28,6 +28,16 @@ def tables(spark, tmp_path):
     return dict(texts)
 
 
+def assert_curriculum(shards, order):
+    """Each shard holds its own part of the training order, so that repeats stay apart."""
+    of = {r.doc_id: r.shard for r in shards}
+    for shard in range(8):
+        got = sorted((r.slot, r.doc_id) for r in shards if r.shard == shard)
+        assert [s for s, _ in got] == list(range(len(got)))
+        assert [d for _, d in got] == [d for d in order if of[d] == shard]
+    assert all(r.text for r in shards)
+
+
 def test_each_stage_decides_on_what_the_one_before_kept(spark, tmp_path):
     texts = tables(spark, tmp_path)
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
@@ -56,7 +66,9 @@ def test_each_stage_decides_on_what_the_one_before_kept(spark, tmp_path):
         elif name == "mixture":
             assert set(seen) <= ids and max(seen.values()) == 2
             rows = seen
+            order = [r.doc_id for r in stage(spark, spark.read.parquet(f"{tmp_path}/out-decontamination"), str(tmp_path)).collect()]
         else:
+            assert_curriculum(docs.collect(), order)
             assert seen == rows and set(docs.columns) >= {"shard", "slot", "grown_shard"}
         ids = set(seen)
 
@@ -67,3 +79,18 @@ def test_run_over_empty_tables(spark, tmp_path):
         spark.read.parquet(f"{tmp_path}/{name}.parquet").filter("false").write.parquet(f"{tmp_path}/empty/{name}.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 200
+
+
+def test_run_over_rows_with_nulls_repeats_long_texts_and_clashing_columns(spark, tmp_path):
+    tables(spark, tmp_path)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").withColumns({"_gone": F.lit(1), "_kept": F.lit(1), "shard": F.lit("s"), "slot": F.lit("t"), "position": F.lit("p")})
+    long = "the river runs over stones under the grey sky. " * 4000
+    odd = documents(spark, [(None, None), (None, "the people walk slowly under trees"), (900, None), (901, ""), (902, long), (902, long), (5, "the river runs over stones")])
+    docs.unionByName(odd, allowMissingColumns=True).write.parquet(f"{tmp_path}/odd/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{tmp_path}/{name}.parquet").write.parquet(f"{tmp_path}/odd/{name}.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    assert len(got) > 200 and {"text", "source", "shard", "slot"} <= set(got[0].asDict())
+    for shard in range(8):
+        slots = sorted(r.slot for r in got if r.shard == shard)
+        assert slots == list(range(len(slots)))
