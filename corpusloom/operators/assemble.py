@@ -71,9 +71,22 @@ def missing_viewers(ledger: DataFrame) -> DataFrame:
     return labels.join(viewers, "file", "left_anti")
 
 
-def write_by_file(table: DataFrame, path: str) -> None:
-    """One folder for each source file, replaced as a whole; files that got no row lose theirs (an empty one must not exist)."""
-    table.repartition("source_file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("source_file").parquet(path)
+def write_by_file(table: DataFrame, path: str, files: DataFrame | None = None) -> None:
+    """One folder for each source file, replaced as a whole; large ones are written by several tasks.
+
+    `files` has the source_file of all files that were worked on: those of them that got no row lose what an earlier run
+    wrote, since an empty table must not exist. Other files are left alone.
+    """
+    spark = table.sparkSession
+    table.hint("rebalance", "source_file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("source_file").parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files is None or not any(x.isDirectory() and x.getPath().getName().startswith("source_file=") for x in fs.listStatus(at)):
+        return
+    there = spark.read.schema("source_file string").parquet(path).select("source_file", F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1).alias("folder")).distinct()
+    stale = there.join(files.select("source_file").distinct(), "source_file", "left_semi").join(table.select("source_file").distinct(), "source_file", "left_anti")
+    for r in stale.toLocalIterator():
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(r.folder)), True)
 
 
 def write_generations(table: DataFrame, path: str, rows: int = 50_000) -> None:

@@ -91,9 +91,11 @@ def plan_report(s, d):
     return planning.plan_report(planning.scan_counts(x, t), t.withColumn("chunk_id", F.substring("text_sha256", 1, 2)))
 
 
-@query("SELECT text_sha256 FROM texts WHERE NOT regexp_matches(text, '\\p{L}')", SENTENCES, TEXTS)
+@query("SELECT DISTINCT sha256(w) AS text_sha256 FROM (SELECT unnest(string_split(text, ' ')) AS w FROM documents) WHERE NOT regexp_matches(w, '\\p{L}')")
 def letterless_rule(s, d):
-    rule, _ = resolve.split_by_rule(planning.unique_texts(b.sentences(s, d)))
+    """Over words: the documents' sentences all have letters."""
+    words = b.table(s, d, "documents").select(F.explode(F.split("text", " ")).alias("text")).distinct()
+    rule, _ = resolve.split_by_rule(words.withColumn("text_sha256", F.sha2("text", 256)))
     return rule.select("text_sha256")
 
 
@@ -155,9 +157,9 @@ def open_chunks(s, d):
     return planning.open_chunks(_state(s, d))
 
 
-@query("SELECT chunk_id, count(*) AS size, min(file_idx) AS ord_file, CAST(0 AS BIGINT) AS prompt_tokens FROM state WHERE chunk_id NOT IN (SELECT chunk_id FROM state WHERE file_idx % 2 = 0) GROUP BY chunk_id", SENTENCES, TEXTS, _STATE)
+@query("SELECT chunk_id, count(*) AS size, min(file_idx) AS ord_file, CAST(0 AS BIGINT) AS prompt_tokens FROM small WHERE chunk_id NOT IN (SELECT chunk_id FROM small WHERE file_idx % 2 = 0) GROUP BY chunk_id", SENTENCES, TEXTS, _STATE, "small AS (SELECT substr(text_sha256, 1, 3) AS chunk_id, file_idx FROM state)")
 def recover_plan_lines(s, d):
-    x = _state(s, d)
+    x = _state(s, d).withColumn("chunk_id", F.substring("text_sha256", 1, 3))
     return planning.recovered_lines(x, x.filter("file_idx % 2 = 0"))
 
 
@@ -291,15 +293,16 @@ def generated_texts(s, d):
     return resolve.generated_texts(m)
 
 
-@query("SELECT text_sha256, chunk_id FROM keyed WHERE text_sha256 NOT IN (SELECT text_sha256 FROM found)", SENTENCES, PARTS, _FOUND)
+@query("SELECT text_sha256, substr(text_sha256, 1, 2) AS chunk_id FROM texts WHERE text_sha256 NOT IN (SELECT text_sha256 FROM found WHERE text_sha256 > '4')", SENTENCES, TEXTS, PARTS, _FOUND)
 def missing_texts(s, d):
-    return resolve.missing_texts(b.parts(s, d).select("text_sha256", "chunk_id").distinct(), _found(s, d))
+    wanted = planning.unique_texts(b.sentences(s, d)).select("text_sha256", F.substring("text_sha256", 1, 2).alias("chunk_id"))
+    return resolve.missing_texts(wanted, _found(s, d).filter("text_sha256 > '4'"))
 
 
-@query("SELECT part_key, row_index, text_sha256 FROM parts WHERE replica = 0 OR row_index < 24", SENTENCES, PARTS)
+@query("SELECT part_key, row_index, text_sha256 FROM parts", SENTENCES, PARTS)
 def union_of_parts(s, d):
     p = b.parts(s, d).withColumn("part_key", F.concat_ws("/", "part_key", "text_sha256")).select("part_key", "row_index", "text_sha256")
-    out = resolve.union_of_parts(p.filter("row_index < 16"), p.filter("row_index < 24"))
+    out = resolve.union_of_parts(p.filter("row_index < 16"), p.filter("row_index >= 8"))
     return out.select(F.substring_index("part_key", "/", 2).alias("part_key"), "row_index", "text_sha256")
 
 

@@ -1,64 +1,93 @@
-"""The report on a published dataset: text made on the driver from a few aggregated rows, and its change detection."""
+"""A report on a published dataset as markdown: sections of tables over a few aggregated rows, and its change detection."""
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 
-from corpusloom.operators.stats import DECISIONS
-
-MEANING = {"yes": "relevant", "no": "not relevant", "failed": "no answer could be read from the output", "skipped_unsplit": "not segmented upstream, not sent to the model", "pending": "waits for its result"}
-WHY = {
-    "truncated": "cut off at the token limit", "no_label": "no yes or no in the answer", "ambiguous": "both labels in the answer", "empty": "nothing after the reasoning",
-    "unclosed_think": "the reasoning never ended", "non_english_token": "an answer in another language", "input_too_long": "the prompt does not fit the model",
+#: What the answer parser's rules say, in the order in which they are tried.
+RULES = {
+    "input_too_long": "the engine refused the prompt, with numbers that bear it out", "truncated": "generation stopped at its length limit", "unclosed_think": "no end of the reasoning in the output",
+    "empty": "white space only after the reasoning", "ambiguous": "yes and no are both among the words", "non_english_token": "only a yes or no of another language", "no_label": "none of the rules found a label",
 }
 
 
-def share(part: int, whole: int) -> str:
-    """Formatted by Python, which rounds the exact binary value."""
-    return f"{part / whole:.1%}" if whole else "0.0%"
+@dataclass(frozen=True)
+class Section:
+    """A title, sentences, and a table: columns by name, numbers right-aligned."""
+
+    title: str
+    lines: Sequence[str] = ()
+    columns: Sequence[str] = ()
+    rows: Iterable[Sequence[object]] = ()
+
+    def text(self) -> str:
+        return "\n\n".join([f"## {self.title}", *self.lines, *([grid(self.columns, self.rows)] if self.columns else [])])
+
+
+@dataclass(frozen=True)
+class Facts:
+    """What a report is made from; all of it is aggregated."""
+
+    name: str
+    files: int
+    files_done: int
+    files_begun: int
+    decisions: Mapping[str, int]
+    failures: Mapping[str, int]
+    outputs: int
+    keys: Sequence[str]
+    fingerprint: str
+    licence: str
+    map: Mapping[str, float] | None = None
+    gates: Mapping[str, Mapping[str, float]] = field(default_factory=dict)
+
+
+def cell(value: object) -> str:
+    """Whole numbers by thousands, other numbers to four digits, text as it is."""
+    if isinstance(value, bool) or not isinstance(value, int | float):
+        return str(value)
+    return f"{value:,}" if isinstance(value, int) else f"{value:.4f}"
 
 
-def decision_table(counts: Mapping[str, int]) -> str:
-    """In the fixed order; pending only if there are any."""
-    total = sum(counts.values())
-    lines = ["| `decision` | Rows | Share | Meaning |", "|---|---:|---:|---|"]
-    lines += [f"| `{d}` | {counts.get(d, 0):,} | {share(counts.get(d, 0), total)} | {MEANING[d]} |" for d in DECISIONS if d != "pending" or counts.get(d)]
-    return "\n".join([*lines, f"| **total** | **{total:,}** | | |"])
+def grid(columns: Sequence[str], rows: Iterable[Sequence[object]]) -> str:
+    """A markdown table; a column is right-aligned if its first value is a number."""
+    rows = [list(r) for r in rows]
+    number = [bool(rows) and isinstance(v, int | float) for v in (rows[0] if rows else columns)]
+    lines = [list(columns), ["--:" if n else ":--" for n in number], *([cell(v) for v in r] for r in rows)]
+    return "\n".join("| " + " | ".join(line) + " |" for line in lines)
 
 
-def failure_table(counts: Mapping[str, int]) -> str:
-    """Most frequent first, then by name."""
-    total = sum(counts.values())
-    rows = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
-    return "\n".join(["| `failure_reason` | Rows | Share | Meaning |", "|---|---:|---:|---|", *(f"| `{r}` | {n:,} | {share(n, total)} | {WHY.get(r, 'unknown')} |" for r, n in rows)])
+def per_mille(part: int, whole: int) -> float:
+    return round(1000 * part / whole, 2) if whole else 0.0
 
 
-def gate_row(gpu: str, rows: int, total: int, g: Mapping[str, float]) -> str:
-    return f"| `{gpu}` | {rows:,} ({share(rows, total)}) | {g['delta_f1']:+.4f} | {g['delta_mcc']:+.4f} ({g['mcc_lower']:+.4f}) | {g['delta_accuracy']:+.4f} | {100 * g['delta_failed_rate']:+.2f} pp |"
+def counted(counts: Mapping[str, int]) -> list[tuple[str, int, float]]:
+    """name, rows, rows in a thousand; the largest first, then by name; empty ones are left out."""
+    whole = sum(counts.values())
+    return [(n, c, per_mille(c, whole)) for n, c in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if c]
 
 
-def front_matter(name: str, complete: bool, tables: Sequence[str]) -> str:
-    configs = "\n".join(f'- config_name: {t}\n  data_files: "{t}/**/*.parquet"' for t in tables)
-    return f"---\npretty_name: {name}\ndataset_status: {'complete' if complete else 'in_progress'}\nconfigs:\n{configs}\n---"
+def sections(f: Facts) -> list[Section]:
+    """Only those with something to say."""
+    out = [Section("Progress", columns=("files", "done", "begun", "rows", "texts with outputs"), rows=[(f.files, f.files_done, f.files_begun, sum(f.decisions.values()), f.outputs)])]
+    out.append(Section("Decisions", columns=("decision", "rows", "‰"), rows=counted(f.decisions)))
+    if any(f.failures.values()):
+        out.append(Section("Unreadable outputs", ["The parser tries its rules in a fixed order; the first that fits gives the reason."], ("reason", "rows", "‰", "rule"), [(*r, RULES.get(r[0], "")) for r in counted(f.failures)]))
+    if f.map:
+        out.append(Section("On the map", columns=tuple(f.map), rows=[tuple(f.map.values())]))
+    if f.gates:
+        names = sorted({n for g in f.gates.values() for n in g})
+        out.append(Section("Against the reference model", columns=("hardware", *names), rows=[(h, *(float(g.get(n, 0)) for n in names)) for h, g in sorted(f.gates.items())]))
+    out.append(Section("How to join", [f"Labels join the input by {', '.join(f.keys)}, and outputs by generation_id. Configuration {f.fingerprint}. Licence: {f.licence}."]))
+    return out
 
 
-def render(name: str, files: int, done: int, partial: int, decisions: Mapping[str, int], failures: Mapping[str, int], generations: int, cells: Mapping[str, float] | None, gates: Sequence[tuple[str, int, Mapping[str, float]]], keys: Sequence[str], fingerprint: str, licence: str) -> str:
-    """The whole report. It is complete if all files are; a section without content is left out."""
-    rows, failed = sum(decisions.values()), decisions.get("failed", 0)
-    tables = ["viewer", "labels", *(["generations"] if generations else [])]
-    state = "Complete" if done == files else "In progress"
-    parts = [front_matter(name, done == files, tables), f"# {name}", f"**{state}: {done:,} of {files:,} input files labelled" + (f", {partial:,} in part" if partial else "") + f", {rows:,} rows, {generations:,} unique texts with their outputs.**", decision_table(decisions)]
-    if failed:
-        parts += ["### Failed rows", f"{failed:,} rows ({share(failed, rows)} of all) have no usable answer.", failure_table(failures)]
-    if cells:
-        parts += ["## Map", f"{int(cells['located']):,} of {int(cells['labelled']):,} answered sentences are on the map, in {int(cells['cells']):,} cells; {cells['share']:.1%} of them say yes."]
-    parts += ["## Tables", f"`labels/` has one row for each sentence; its keys are {', '.join(keys)}. `viewer/` has the sentences to look at. `generations/` has one row for each unique text."]
-    if gates:
-        total = sum(n for _, n, _ in gates)
-        parts += ["## Quality", "\n".join(["| GPU type | Generations | ΔF1 | ΔMCC (95 % low) | Δaccuracy | Δfailed |", "|---|---:|---:|---:|---:|---:|", *(gate_row(g, n, total, x) for g, n, x in sorted(gates))])]
-    parts += ["## Licence", f"{licence}. Configuration `{fingerprint}`."]
-    return "\n\n".join(parts) + "\n"
+def render(f: Facts) -> str:
+    """The whole report, with its state on top for programs to read."""
+    state = "complete" if f.files_done == f.files else "growing"
+    return "\n\n".join([f"---\ntitle: {f.name}\nstate: {state}\n---", *(s.text() for s in sections(f))]) + "\n"
 
 
 def digest(files: Mapping[str, bytes]) -> str:

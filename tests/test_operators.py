@@ -230,3 +230,39 @@ def test_chunk_files_round_trip(spark, tmp_path):
     parts.write_chunks(df, str(tmp_path / "chunks"))
     assert [r.text_sha256 for r in parts.read_chunk(spark, str(tmp_path / "chunks"), "c").collect()] == ["a", "b"]
     assert spark.range(1).select(chunk_id(F.lit("f"), F.array(F.lit("b"), F.lit("a")))).first()[0] == spark.range(1).select(chunk_id(F.lit("f"), F.array(F.lit("a"), F.lit("b")))).first()[0]
+
+
+def test_appended_parts_are_named_by_their_bytes_and_read_back(spark, tmp_path):
+    root = f"{tmp_path}/results"
+    data = [(f"h{i:03}", f"fp{i % 2}", f"c{i % 3}", f"</think>{i}") for i in range(300)]
+    results = spark.createDataFrame(data, "text_sha256 string, config_fingerprint string, chunk_id string, raw_output string")
+    parts.append_results(results, root, rows=20)
+    parts.append_results(results.limit(0), root)
+    found = parts.verified_paths(spark, root).collect()
+    assert len(found) >= 18 and all(r.valid for r in found) and {r.key.split("/")[1] for r in found} == {"c0", "c1", "c2"}
+    back = parts.read_valid_parts(spark, root, results.schema.simpleString()[7:-1].replace(":", " "))
+    assert sorted(tuple(r)[:4] for r in back.collect()) == sorted(data)
+    named = parts.read_manifests(spark, f"{root}/*/*/*.json").collect()
+    assert sorted(r.text_sha256 for r in named) == sorted(d[0] for d in data) and {r.part_id for r in named} == {r.key.split("/")[2].removesuffix(".parquet") for r in found}
+    again = len(found)
+    parts.append_results(results.coalesce(1).sortWithinPartitions("text_sha256"), root)
+    parts.append_results(results.coalesce(1).sortWithinPartitions("text_sha256"), root)
+    assert parts.verified_paths(spark, root).count() == again + 6  # the second time adds nothing
+    victim = sorted(tmp_path.glob("results/*/*/*.parquet"))[0]
+    victim.write_bytes(victim.read_bytes()[:-1] + b"x")
+    victim.with_name(f".{victim.name}.crc").unlink(missing_ok=True)  # only the local file system has one
+    assert parts.quarantine(spark, root, f"{tmp_path}/bad") == [str(victim.relative_to(tmp_path / "results"))]
+    assert all(r.valid for r in parts.verified_paths(spark, root).collect()) and parts.verified_paths(spark, root).count() == again + 5
+
+
+def test_files_without_rows_lose_their_tables(spark, tmp_path):
+    from corpusloom.operators import assemble
+
+    path, schema = f"{tmp_path}/viewer", "sentence string, source_file string"
+    rows = lambda *x: spark.createDataFrame(list(x), schema)
+    files = spark.createDataFrame([("v/f1.parquet",), ("v/f2.parquet",), ("new",)], "source_file string")
+    assemble.write_by_file(rows(("a", "v/f1.parquet"), ("b", "v/f2.parquet"), ("c", "other")), path)
+    assemble.write_by_file(rows(("d", "v/f1.parquet")), path, files)
+    assert {(r.sentence, r.source_file) for r in spark.read.parquet(path).collect()} == {("d", "v/f1.parquet"), ("c", "other")}
+    assemble.write_by_file(rows(), path, files)
+    assert {(r.sentence, r.source_file) for r in spark.read.parquet(path).collect()} == {("c", "other")}
