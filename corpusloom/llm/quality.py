@@ -78,10 +78,13 @@ def fourier(z: np.ndarray) -> np.ndarray:
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators: the centres and levels of the blocks of the best rising step function."""
+    """Pool adjacent violators: the centres and levels of the blocks of the best rising step function. Equal x are one point, so row order doesn't count."""
+    places, of = np.unique(x, return_inverse=True)
+    weight = np.bincount(of, minlength=len(places)).astype(float)
+    means = np.bincount(of, y, len(places)) / np.maximum(weight, 1)
     blocks: list[list[float]] = []  # mean, weight, sum of x
-    for i in np.argsort(x, kind="stable"):
-        blocks.append([float(y[i]), 1.0, float(x[i])])
+    for place, mean, w in zip(places.tolist(), means.tolist(), weight.tolist(), strict=True):
+        blocks.append([mean, w, place * w])
         while len(blocks) > 1 and blocks[-2][0] >= blocks[-1][0]:
             m, w, s = blocks.pop()
             p = blocks[-1]

@@ -108,3 +108,25 @@ def test_edge_tables(spark):
     one = labels(spark, [(i, 1, 0) for i in range(12)])
     docs = documents(spark, [(i, f"text {i}") for i in range(12)])
     assert all(r[3] == 1 for r in rows(classify_quality(docs, one))) and all(r[3] == 0 for r in rows(classify_toxicity(docs, one)))
+
+
+def test_ties_have_one_level_whatever_their_order():
+    from corpusloom.llm.quality import isotonic
+
+    for y in ([0, 0, 1, 1], [1, 1, 0, 0], [1, 0, 1, 0]):
+        x, level = isotonic(np.ones(4), np.array(y))
+        assert x.tolist() == [1.0] and level.tolist() == [0.5]
+    x, level = isotonic(np.array([2.0, 1.0, 1.0, 3.0]), np.array([0, 1, 0, 1]))
+    assert level.tolist() == sorted(level.tolist()) and level[-1] == 1
+
+
+def test_identity_terms_are_a_parameter_and_their_rows_are_counted(spark):
+    from corpusloom.llm.toxicity import fit_toxicity
+
+    texts = [(i, f"the {'zorg' if i % 3 else 'blip'} went home {'awful' if i % 2 else 'nice'} and {'frau' if i % 4 else 'x'} slept") for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    ours = fit_toxicity(documents(spark, texts), labels, identity=[("zorg", "blip")])
+    assert ours.counterfactuals == spark.range(200).filter("crc32(cast(id as string)) % 5 <> 0").count()
+    german = fit_toxicity(documents(spark, texts), labels)
+    assert 0 < german.counterfactuals < ours.counterfactuals
+    assert fit_toxicity(documents(spark, texts), labels, identity=[]).counterfactuals == 0
