@@ -21,8 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder all machines share: the cluster's spark.checkpoint.dir, else one in the warehouse."""
+    """The folder all machines share: the cluster's spark.checkpoint.dir, else one in the warehouse; an error if a cluster has only a local one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local") and spark.conf.get("spark.sql.warehouse.dir").startswith(("file:", "/")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     return f"{(shared or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/corpusloom"
 
 

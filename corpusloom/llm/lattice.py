@@ -135,25 +135,32 @@ class Lattice:
                         expected[k] += np.bincount(piece, used, len(expected[k]))
         return out
 
+    def _reached(self, text: bytes, i: int) -> Iterator[tuple[int, int]]:
+        """End and number of the pieces that start at i."""
+        for j in range(i + 1, min(len(text), i + LONGEST_PIECE) + 1):
+            if (piece := self.where.get(text[i:j])) is not None:
+                yield j, piece
+
     def _one(self, text: bytes, counts: np.ndarray | None, expected: np.ndarray | None) -> np.ndarray:
-        """The same for one long word."""
-        where = self.where
-        n, edges = len(text), []
-        forward = np.full((n + 1, self.logp.shape[1]), NONE)
+        """The same for one long word. Without expectations, only as many columns are kept as a piece can span."""
+        n, learn = len(text), counts is not None and expected is not None
+        turn = n + 1 if learn else LONGEST_PIECE + 1
+        forward = np.full((turn, self.logp.shape[1]), NONE)
         forward[0] = 0
         for i in range(n):
-            for j in range(i + 1, min(n, i + LONGEST_PIECE) + 1):
-                piece = where.get(text[i:j])
-                if piece is not None:
-                    edges.append((i, j, piece))
-                    forward[j] = np.logaddexp(forward[j], forward[i] + self.logp[piece])
-        if counts is not None and expected is not None:
+            here = forward[i % turn].copy()
+            if not learn:
+                forward[i % turn] = NONE  # from here on the column of i + turn
+            for j, piece in self._reached(text, i):
+                forward[j % turn] = np.logaddexp(forward[j % turn], here + self.logp[piece])
+        if learn:
             backward = np.full_like(forward, NONE)
             backward[n] = 0
-            for i, j, piece in reversed(edges):
-                through = self.logp[piece] + backward[j]
-                backward[i] = np.logaddexp(backward[i], through)
-                share = np.exp(forward[i] + through - forward[n])
-                for k in range(len(expected)):
-                    expected[k, piece] += share[min(k, len(share) - 1)] * counts[k]
-        return forward[n]
+            for i in reversed(range(n)):
+                for j, piece in self._reached(text, i):
+                    through = self.logp[piece] + backward[j]
+                    backward[i] = np.logaddexp(backward[i], through)
+                    share = np.exp(forward[i] + through - forward[n])
+                    for k in range(len(expected)):
+                        expected[k, piece] += share[min(k, len(share) - 1)] * counts[k]
+        return forward[n % turn]

@@ -43,6 +43,7 @@ def _binary(values: list[bytes]) -> pa.Array:
 class LatticeModel:
     """classes: language names, with None for null; the last may stand for all others."""
 
+    plain: Lattice  # with the vocabulary's own scores
     lattice: Lattice
     documents: np.ndarray  # in training, by class
     tokens: np.ndarray  # with ends, by class
@@ -55,6 +56,10 @@ class LatticeModel:
         lattice = np.exp(self.lattice.likelihoods(words))
         return np.log10(np.maximum((counts + self.types * lattice) / (self.tokens + self.types), 1e-300))
 
+    def log10_plain(self, words: list[bytes]) -> np.ndarray:
+        """log10 of each word's marginal probability under the vocabulary's own scores alone."""
+        return self.plain.likelihoods(words)[:, 0] / np.log(10)
+
     def log10_ends(self) -> np.ndarray:
         """log10 of the class's share and of its probability of an end."""
         share = np.log10(np.maximum(self.documents, 0.5) / max(self.documents.sum(), 1.0))
@@ -118,7 +123,7 @@ def fit_lattice(docs: DataFrame, vocabulary: str | None = None, folds: int = FOL
     row = counts.agg(F.count(F.lit(1)), *[F.sum(c) for c in columns], *[F.count_if(F.col(c) > 0) for c in columns]).first()
     uses = np.array([float(x or 0) for x in row[1 : 1 + classes]])
     types = np.maximum(np.array([float(x or 0) for x in row[1 + classes :]]), 1.0)
-    lattice = Lattice.of(pieces, np.log(prior))
+    lattice = plain = Lattice.of(pieces, np.log(prior))
     spread = counts.repartition(wide(counts))
     for _ in range(PASSES):
         expected = np.zeros((classes, len(pieces)))
@@ -127,7 +132,7 @@ def fit_lattice(docs: DataFrame, vocabulary: str | None = None, folds: int = FOL
         extra = PRIOR * len(pieces)
         lattice = lattice.with_logp(np.log((expected + extra * prior) / (expected.sum(1) + documents + extra)[:, None]).T)
     some = int(documents.sum() > 0)
-    model = LatticeModel(lattice, documents, uses + np.maximum(documents, 0.5), types, int(uses.sum() + documents.sum()), int(row[0]) + some)
+    model = LatticeModel(plain, lattice, documents, uses + np.maximum(documents, 0.5), types, int(uses.sum() + documents.sum()), int(row[0]) + some)
     return model, counts
 
 
@@ -163,9 +168,9 @@ def _expected_uses(counts: DataFrame, lattice: Lattice, classes: int) -> DataFra
 
 
 def _scored_words(words: DataFrame, model: LatticeModel, keep: str, kind: str, times: str | None) -> DataFrame:
-    """For rows of a word and its counts: `keep`, s0, s1, ... (log10 by class), base, known, each times the column `times`."""
+    """For rows of a word and its counts: `keep`, s0, s1, ... (log10 by class), base, plain, known, each times the column `times`."""
     classes = len(model.documents)
-    names = [*(f"s{k}" for k in range(classes)), "base"]
+    names = [*(f"s{k}" for k in range(classes)), "base", "plain"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches):
@@ -173,19 +178,32 @@ def _scored_words(words: DataFrame, model: LatticeModel, keep: str, kind: str, t
             counts = np.zeros((len(distinct), classes))
             counts[where] = _matrix(batch, classes)  # the same for all rows of a word
             total = counts.sum(1)
-            found = np.hstack([model.log10_words(distinct.tolist(), counts), np.log10(total + 0.5)[:, None], (total > 0)[:, None]])[where]
+            words_ = distinct.tolist()
+            found = np.hstack([model.log10_words(words_, counts), np.log10(total + 0.5)[:, None], model.log10_plain(words_)[:, None], (total > 0)[:, None]])[where]
             if times:
                 found = found * np.asarray(batch.column(times)).astype(np.float64)[:, None]
-            yield pa.RecordBatch.from_arrays([batch.column(keep), *[pa.array(found[:, k]) for k in range(classes + 1)], pa.array(found[:, -1].astype(np.int64))], [keep, *names, "known"])
+            yield pa.RecordBatch.from_arrays([batch.column(keep), *[pa.array(found[:, k]) for k in range(classes + 2)], pa.array(found[:, -1].astype(np.int64))], [keep, *names, "known"])
 
     return words.mapInArrow(run, f"{keep} {kind}, " + ", ".join(f"{n} double" for n in names) + ", known long")
 
 
+def _most_frequent(counts: DataFrame, total: Column, most: int) -> DataFrame:
+    """The words of the largest counts, `most` at most: a histogram of the counts' logarithms, of bounded size, sets the limit and nothing is sorted."""
+    grade = F.floor(F.log2(F.greatest(total, F.lit(1)).cast("double")) * 16).cast("int")
+    seen, least = 0, None
+    for r in sorted(counts.groupBy(grade.alias("grade")).count().collect(), reverse=True):
+        if seen + r[1] > most:
+            break
+        seen, least = seen + r[1], r[0]
+    return counts.filter(F.lit(False) if least is None else grade >= least)
+
+
 def score_documents(docs: DataFrame, vocabulary: str | None = None, folds: int = FOLDS, fold: int = FOLD, head: int = HEAD) -> DataFrame:
-    """Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, one row for each document.
+    """Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score, one row for each document.
 
     Words are runs without ASCII white space, A to Z lower-cased; an end follows the last. base_score is the add-half unigram
-    of whole words, score the lattice model's log10 probability. Null and empty texts are an end alone; a null doc_id counts as the
+    of whole words, score the lattice model's log10 probability, lattice_score the log10 marginal of the words over all
+    segmentations under the vocabulary's own scores, without anything learned (and without an end). Null and empty texts are an end alone; a null doc_id counts as the
     empty id; repeated rows are learned from and scored each; a null lang is a class of its own in training and plays no
     part in scoring; no documents give no rows; without training documents the vocabulary's own
     scores and an end of probability 1/3 are the model. Other columns are ignored.
@@ -196,10 +214,10 @@ def score_documents(docs: DataFrame, vocabulary: str | None = None, folds: int =
     classes = len(model.documents)
     columns = [f"c{k}" for k in range(classes)]
     total = sum((F.col(c) for c in columns[1:]), F.col(columns[0]))
-    frequent = counts.orderBy(total.desc(), "word").limit(head)  # of a fixed size
+    frequent = _most_frequent(counts, total, head)
     frequent = _scored_words(frequent.repartition(wide(counts)), model, "word", "binary", None).collect()
     index = {bytes(r.word): i for i, r in enumerate(frequent)}
-    values = np.array([tuple(r)[1:] for r in frequent], np.float64).reshape(len(frequent), classes + 2)
+    values = np.array([tuple(r)[1:] for r in frequent], np.float64).reshape(len(frequent), classes + 3)
     shared = spark.sparkContext.broadcast((index, values))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +241,7 @@ def score_documents(docs: DataFrame, vocabulary: str | None = None, folds: int =
     rare = parts.select("key", F.explode(F.arrays_zip("tail", "uses")).alias("x")).select("key", F.col("x.tail").alias("word"), F.col("x.uses").alias("uses"))
     rare = rare.join(counts, "word", "left")
     sums = _scored_words(rare.select("key", "word", "uses", *columns), model, "key", "long", "uses")
-    names = [*(f"s{k}" for k in range(classes)), "base", "known"]
+    names = [*(f"s{k}" for k in range(classes)), "base", "plain", "known"]
     sums = sums.groupBy("key").agg(*[F.sum(n).alias(n) for n in names])
     ends = model.log10_ends()
     some = int(model.documents.sum() > 0)
@@ -237,10 +255,11 @@ def score_documents(docs: DataFrame, vocabulary: str | None = None, folds: int =
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.get("sums", F.lit(classes + 1)) + F.coalesce("known", F.lit(0)) + F.lit(some)).cast("bigint").alias("n_known"),
+        (F.get("sums", F.lit(classes + 2)) + F.coalesce("known", F.lit(0)) + F.lit(some)).cast("bigint").alias("n_known"),
         F.lit(model.base_total).cast("bigint").alias("train_tokens"),
         (part(classes) + F.lit(end_base) - F.col("n_tokens") * F.lit(model.base_offset())).alias("base_score"),
         score.alias("score"),
+        part(classes + 1).alias("lattice_score"),
     )
 
 

@@ -8,7 +8,7 @@ import numpy as np
 
 from corpusloom.llm.lattice import Lattice, read_vocabulary
 from corpusloom.llm.lm_score import default_vocabulary, score_documents
-from tests.llm.helpers import documents, nearly, rows
+from tests.llm.helpers import F, documents, nearly, rows
 
 
 def every_segmentation(text, logp):
@@ -104,3 +104,46 @@ def test_edge_tables(spark):
     assert rows(score_documents(documents(spark, []))) == []
     only = score_documents(documents(spark, [(None, "a b"), (None, None)]), folds=1, fold=0).collect()  # all is held out
     assert all(r.held_out and math.isfinite(r.score) and r.n_known == 0 and r.train_tokens == 0 for r in only)
+
+
+def test_a_long_token_is_scored_with_a_few_columns():
+    lattice = Lattice.of([b" ", b"a", b"b", b"ab", b" a"], np.log(np.array([0.2, 0.2, 0.2, 0.2, 0.2])))
+    for n in (20, 5000):
+        word = b"ab" * (n // 2)
+        whole = lattice._one(b" " + word, np.ones(1), np.zeros((1, 5)))
+        assert np.allclose(lattice._one(b" " + word, None, None), whole)
+
+
+def test_most_frequent_words_by_histogram(spark):
+    from corpusloom.llm.lm_score import _most_frequent
+
+    counts = spark.createDataFrame([(f"w{i}".encode(), 1000 // (i + 1) + 1) for i in range(500)], "word binary, c0 long")
+    got = [r.c0 for r in _most_frequent(counts, F.col("c0"), 50).collect()]
+    assert 0 < len(got) <= 50 and min(got) > 1000 // 51
+    assert _most_frequent(counts, F.col("c0"), 0).count() == 0 and _most_frequent(counts, F.col("c0"), 500).count() == 500
+
+
+def test_scores_follow_from_the_model_by_hand(spark):
+    """The word edge, the mixture over classes and the final sum, and the plain marginal."""
+    from corpusloom.llm.lm_score import fit_lattice
+
+    texts = corpus()
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    model, counts = fit_lattice(docs)
+    classes = len(model.documents)
+    uses = {bytes(r.word): [r[f"c{k}"] for k in range(classes)] for r in counts.collect()}
+    weights = read_vocabulary(default_vocabulary())
+    total = sum(weights.values())
+    plain = Lattice.of(list(weights), np.log(np.array(list(weights.values())) / total))
+    got = {r.doc_id: r for r in score_documents(docs, head=20).collect()}
+    share = [d / model.documents.sum() for d in model.documents]
+    for d, text, _ in texts:
+        words = (text or "").encode().lower().split()
+        logs = [math.log10(share[k]) + math.log10(model.documents[k] / (model.tokens[k] + model.types[k])) for k in range(classes)]
+        for w in words:
+            own = np.exp(model.lattice.likelihoods([w])[0])
+            for k in range(classes):
+                logs[k] += math.log10((uses.get(w, [0] * classes)[k] + model.types[k] * own[k]) / (model.tokens[k] + model.types[k]))
+        top = max(logs)
+        assert nearly(got[d].score, top + math.log10(sum(10 ** (x - top) for x in logs)))
+        assert nearly(got[d].lattice_score, sum(float(plain.likelihoods([w])[0, 0]) for w in words) / math.log(10))
