@@ -60,8 +60,15 @@ def rounds(texts: DataFrame) -> DataFrame:
 
     Any prefix by (round, key, text_sha256) is even over the cells that aren't exhausted.
     """
-    located = texts.filter("cell is not null").withColumn("round", (F.row_number().over(Window.partitionBy("cell").orderBy("text_sha256")) - 1).cast("bigint"))
-    top = located.agg(F.coalesce(F.max("round"), F.lit(0).cast("bigint")).alias("top"))  # one row
+    # A cell may be a metropolis, so it is cut up by the first two digits of its hashes: a cut's offset, then a row number in the cut.
+    cut = texts.filter("cell is not null").withColumn("_cut", F.substring("text_sha256", 1, 2))
+    sizes = cut.groupBy("cell", "_cut").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("cell").orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)  # 256 rows a cell at most
+    offsets = sizes.select("cell", "_cut", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy("cell", "_cut").orderBy("text_sha256")) - 1
+    located = cut.withColumn("_inside", inside).join(offsets, ["cell", "_cut"]).withColumn("round", F.col("_inside") + F.col("_offset")).select(*texts.columns, "round")
+    most = sizes.groupBy("cell").agg(F.sum("_n").alias("_n")).agg(F.max("_n").alias("_n"))
+    top = most.select(F.coalesce(F.col("_n") - 1, F.lit(0).cast("bigint")).alias("top"))  # one row, from counts alone
     rest = texts.filter("cell is null").crossJoin(F.broadcast(top)).withColumn("round", F.pmod(hash_round(F.col("text_sha256")), F.col("top") + 1)).drop("top")
     key = F.when(F.col("cell").isNotNull(), cell_key(F.col("cell"))).otherwise(F.lit(""))
     return located.unionByName(rest).withColumn("key", key)

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OVERFLOW = 1.2
+#: Plan lines that one task sums up.
+RUN = 1 << 14
 
 
 def blocked(reservations: Column, now: Column, walltime_s: Column) -> Column:
@@ -92,11 +94,18 @@ def greedy_prefix(pending: DataFrame, taken: DataFrame, budget: Column, by: str
 
     pending: chunk_id, size, seq, one row for each chunk of a plan (by dataset, if `by` is given).
     """
-    rows = pending.join(taken.select("chunk_id").distinct(), "chunk_id", "left_anti")
-    order = (Window.partitionBy(by) if by else Window.partitionBy()).orderBy("seq")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("used", F.sum("size").over(upto)).withColumn("place", F.row_number().over(order))
-    return rows.filter((F.col("place") == 1) | (F.col("used") <= budget))
+    rows = pending.join(taken.select("chunk_id").distinct(), "chunk_id", "left_anti").withColumn("_run", F.coalesce(F.floor(F.col("seq") / RUN), F.lit(-1)))
+    keys = [by] if by else []
+    # A plan may be long, so runs of its lines are summed up apart; only one row for each run takes part in the sum over runs.
+    sums = rows.groupBy(*keys, "_run").agg(F.sum("size").alias("_size"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_run").alias("_of"), *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("_size", "_n")])
+    inside = Window.partitionBy(*keys, "_run").orderBy("seq")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("used", F.sum("size").over(upto)).withColumn("place", F.row_number().over(inside).cast("bigint"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_run") == F.col("_of")]
+    rows = rows.join(base, same).withColumns({"used": F.col("used") + F.col("_size_before"), "place": F.col("place") + F.col("_n_before")})
+    return rows.filter((F.col("place") == 1) | (F.col("used") <= budget)).select(*pending.columns, "used", "place")
 
 
 def walltime_ladder(window_s: Column, night: Column, day_s: Column, preferred_s: Column, fallback_s: Column, day_short_s: Column) -> Column:

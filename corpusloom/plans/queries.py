@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from corpusloom.operators import assemble, geo, planning, quality, resolve, sche
 from corpusloom.plans import bindings as b
 from corpusloom.plans.bindings import BENCHMARK, FINGERPRINT, JOBS, KNOWN, LABELLED, MOMENTS, PARSED, PARTS, POLYGONS, SENTENCES, TEXTS, VERDICTS
 from corpusloom.sources import readers
+from corpusloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -753,3 +755,64 @@ def cleanup_candidates(s, d):
 def flagship(s: SparkSession, d: str) -> DataFrame:
     """Sentences, unique texts, verdicts, labels, decisions by file: the whole way."""
     return stats.file_stats(placed(s, d))
+
+
+# streams
+
+
+def _streamed(s: SparkSession, rows: DataFrame, name: str, key: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Writes the rows as files, takes these in as a stream in batches of four files, and returns the last version of each key."""
+    shared = s.conf.get("spark.checkpoint.dir", None) or s.conf.get("spark.sql.warehouse.dir")
+    root = f"{shared.rstrip('/')}/corpusloom/{name}-{uuid.uuid4().hex}"
+    rows.repartition(8).write.parquet(f"{root}/in")
+    stream = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/in")
+    ingest.run_available(build(stream), ingest.checkpoint_for(root, name), ingest.versions_to(f"{root}/out")).awaitTermination()
+    return ingest.latest(s, f"{root}/out", key)
+
+
+@query("SELECT chunk_id, count(DISTINCT text_sha256) AS done FROM parts GROUP BY 1", SENTENCES, PARTS)
+def stream_progress(s, d):
+    rows = b.parts(s, d).select("chunk_id", "text_sha256")
+    return _streamed(s, rows, "progress", "chunk_id", lambda x: ingest.progress_stream(x.dropDuplicates(["chunk_id", "text_sha256"])))
+
+
+@query("SELECT text_sha256, decision, parse_mode, failure_reason, part_key FROM verdicts", SENTENCES, PARTS, PARSED, VERDICTS)
+def stream_resolution(s, d):
+    rows = b.parts(s, d).select("text_sha256", "raw_output", "truncated", "part_key", "row_index")
+    return _streamed(s, rows, "resolution", "text_sha256", ingest.verdict_stream)
+
+
+# records and waits
+
+
+@query("SELECT language, item_id, expected, predicted AS reference, candidate FROM bench", BENCHMARK)
+def complete_pairs(s, d):
+    return _pairs(s, d)
+
+
+@query("SELECT doc_id, sha256(text) AS text_sha256, '</think>no' AS raw_output, CAST(doc_id % 97 + 1 AS INTEGER) AS prompt_tokens, CAST(0 AS INTEGER) AS generated_tokens, 'rule:no_letters' AS finish_reason, false AS truncated FROM documents")
+def rule_decided(s, d):
+    x = b.table(s, d, "documents").select("doc_id", answers.rule_decided(F.sha2("text", 256), F.col("doc_id") % 97 + 1).alias("g"))
+    return x.select("doc_id", "g.text_sha256", "g.raw_output", "g.prompt_tokens", "g.generated_tokens", "g.finish_reason", "g.truncated")
+
+
+_ASKED = "asked AS (SELECT o_orderkey AS k, o_custkey % 900 AS p, o_orderkey % 500 AS x, o_custkey % 700 AS lim, o_orderkey % 3 AS kind FROM orders)"
+
+
+@query("SELECT k, CASE kind WHEN 0 THEN CASE WHEN p > 0 AND lim > 0 AND p >= lim THEN p END WHEN 1 THEN CASE WHEN p > 0 AND x > 0 AND lim > 0 AND p + x > lim AND p < lim THEN p END END AS prompt, CASE WHEN kind = 1 AND p > 0 AND x > 0 AND lim > 0 AND p + x > lim AND p < lim THEN x END AS extra FROM asked", _ASKED)
+def context_overflow(s, d):
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    p, x, lim = c % 900, k % 500, c % 700
+    alone = F.format_string("The input (%d tokens) is longer than the model's context length (%d tokens).", p, lim)
+    both = F.format_string("Requested token count exceeds the model's maximum context length of %d tokens. You requested a total of %d tokens: %d tokens from the input messages and %d tokens for the completion.", lim, p + x, p, x)
+    said = F.when(k % 3 == 0, alone).when(k % 3 == 1, both).otherwise("out of memory")
+    return b.table(s, d, "orders").select(k.alias("k"), answers.context_overflow(said).alias("o")).select("k", "o.prompt", "o.extra")
+
+
+@query("SELECT event_id, after, least(CASE WHEN after IS NOT NULL THEN after + 1.0 + 0.5 ELSE 2.0 * pow(2.0, attempt - 1) * 0.75 END, 300.0) AS delay, attempt >= 10 OR 1000.0 + least(CASE WHEN after IS NOT NULL THEN after + 1.0 + 0.5 ELSE 2.0 * pow(2.0, attempt - 1) * 0.75 END, 300.0) > 1200.0 AS over FROM (SELECT event_id, event_id % 12 + 1 AS attempt, CASE event_id % 3 WHEN 0 THEN CAST(event_id % 400 AS DOUBLE) WHEN 1 THEN event_id % 50 + 0.5::DOUBLE END AS after FROM events)")
+def retry_after(s, d):
+    k = F.col("event_id")
+    header = F.when(k % 3 == 0, F.concat(F.lit(" "), (k % 400).cast("string"))).when(k % 3 == 1, F.concat((k % 50).cast("string"), F.lit(".5 "))).otherwise("Wed, 21 Oct 2015 07:28:00 GMT")
+    attempt, after = k % 12 + 1, timeline.retry_after(header)
+    delay = timeline.next_delay(attempt, after, F.lit(0.5))
+    return b.table(s, d, "events").select("event_id", after.alias("after"), delay.alias("delay"), timeline.give_up(attempt, F.lit(1000.0), delay).alias("over"))

@@ -266,3 +266,32 @@ def test_files_without_rows_lose_their_tables(spark, tmp_path):
     assert {(r.sentence, r.source_file) for r in spark.read.parquet(path).collect()} == {("d", "v/f1.parquet"), ("c", "other")}
     assemble.write_by_file(rows(), path, files)
     assert {(r.sentence, r.source_file) for r in spark.read.parquet(path).collect()} == {("c", "other")}
+
+
+def test_greedy_prefix_sums_over_runs(spark, monkeypatch):
+    monkeypatch.setattr(schedule, "RUN", 4)
+    plan = [(f"c{n:02d}", n * 7 % 11 + 1, n, "ab"[n % 2] if n % 9 else None) for n in range(40)]
+    pending = spark.createDataFrame(plan, "chunk_id string, size long, seq long, dataset string")
+    taken = spark.createDataFrame([("c00",), ("c05",), ("c05",)], "chunk_id string")
+    for by, groups in ((None, [plan]), ("dataset", [[p for p in plan if p[3] == g] for g in ("a", "b", None)])):
+        want = []
+        for lines in groups:
+            used = 0
+            for place, (chunk, size, _, _) in enumerate(p for p in lines if p[0] not in ("c00", "c05")):
+                used += size
+                if place == 0 or used <= 60:
+                    want.append((chunk, used))
+        got = schedule.greedy_prefix(pending, taken, F.lit(60), by=by).select("chunk_id", "used").collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+    assert schedule.greedy_prefix(pending.limit(0), taken, F.lit(60)).count() == 0
+
+
+def test_rounds_of_a_large_cell(spark):
+    rows = [(f"{n * 37 % 256:02x}{n:04d}", "city") for n in range(300)] + [("00aa", "village")] + [(f"ff{n}", None) for n in range(5)]
+    texts = spark.createDataFrame(rows, "text_sha256 string, cell string")
+    got = {r.text_sha256: r["round"] for r in planning.rounds(texts).collect()}
+    city = sorted(sha for sha, cell in rows if cell == "city")
+    assert [got[sha] for sha in city] == list(range(300)) and got["00aa"] == 0
+    assert len(got) == len(rows) and all(0 <= got[f"ff{n}"] < 300 for n in range(5))
+    nowhere = planning.rounds(texts.filter("cell is null")).collect()
+    assert [r["round"] for r in nowhere] == [0] * 5
