@@ -21,23 +21,28 @@ SMALL = 64
 AT_ONCE = 1 << 20
 
 
-def fingerprint(text: bytes, words: int = 3) -> int:
-    """Bit i is 1 if it is set in over half of the shingles' XXH64; A to Z count as lower case."""
+def shingles(text: bytes, words: int) -> np.ndarray:
+    """XXH64 of each shingle, repeats included; A to Z count as lower case, fewer words are one shingle, no words none."""
     tokens = text.lower().split()
     if not tokens:
-        return 0
+        return np.zeros(0, np.uint64)
     line, n = b" ".join(tokens), len(tokens) - words + 1
     if n < 2:
-        return xxhash.xxh64_intdigest(line, SEED)
+        return np.array([xxhash.xxh64_intdigest(line, SEED)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
     starts = [0, *ends[: n - 1].tolist()]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], SEED) for a, b in zip(starts, (ends[words - 1 :] - 1).tolist(), strict=True)], np.uint64)
+    return np.array([digest(line[a:b], SEED) for a, b in zip(starts, (ends[words - 1 :] - 1).tolist(), strict=True)], np.uint64)
+
+
+def fingerprint(text: bytes, words: int = 3) -> int:
+    """Bit i is 1 if it is set in over half of the shingles' XXH64; zero for a text without words."""
+    hashes = shingles(text, words)
     ones = np.zeros(64, np.int64)
-    for at in range(0, n, 1 << 14):
+    for at in range(0, len(hashes), 1 << 14):
         part = hashes[at : at + (1 << 14)]
         ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
@@ -204,19 +209,5 @@ def simhash_groups(docs: DataFrame, words: int = 3, budget: int = 3) -> DataFram
     return slim.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each_group(docs: DataFrame, words: int = 3, budget: int = 3) -> DataFrame:
-    """The document with the smallest doc_id of each component, with all its columns; of rows that repeat that id, one.
-
-    Null texts are in the component of empty ones; a null doc_id stays only where no other id is in its component.
-    """
-    groups = staged(simhash_groups(docs, words, budget), "simhash-groups")
-    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    if groups.groupBy("doc_id").count().filter("count > 1").isEmpty():  # ids are rows: name those that go, which are fewer
-        gone = staged(groups.filter(~first).select(F.col("doc_id").alias("_gone")), "simhash-gone")
-        return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
-    kept = groups.filter(first).select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates(["doc_id"])
-
-
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
