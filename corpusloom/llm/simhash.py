@@ -77,7 +77,7 @@ def _expand(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def trie_pairs(a: np.ndarray, b: np.ndarray, skip: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def trie_pairs(a: np.ndarray, b: np.ndarray, skip: int, budget: int, at_once: int = AT_ONCE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i, j) with at most `budget` bits between a[i] and b[j], both sorted; i < j where a is b.
 
     A trie node is a range of the sorted values that share their leading bits. Node pairs go down together;
@@ -94,14 +94,14 @@ def trie_pairs(a: np.ndarray, b: np.ndarray, skip: int, budget: int) -> Iterator
     stack = [(63 - skip, one(0), one(len(a)), one(0), one(len(b)), one(start))]
     while stack:
         bit, al, ah, bl, bh, spent = stack.pop()
-        if len(al) > AT_ONCE:
+        if len(al) > at_once:
             half = len(al) // 2
             stack += [(bit, *(x[:half] for x in (al, ah, bl, bh, spent))), (bit, *(x[half:] for x in (al, ah, bl, bh, spent)))]
             continue
         small = ((ah - al) * (bh - bl) <= SMALL) | (bit < 0)
         pick = np.flatnonzero(small)
         while len(pick):
-            cut = max(1, int(np.searchsorted(np.cumsum((ah[pick] - al[pick]) * (bh[pick] - bl[pick])), 4 * AT_ONCE)))
+            cut = max(1, int(np.searchsorted(np.cumsum((ah[pick] - al[pick]) * (bh[pick] - bl[pick])), 4 * at_once)))
             now, pick = pick[:cut], pick[cut:]
             wide = bh[now] - bl[now]
             owner, k = _expand((ah[now] - al[now]) * wide)
