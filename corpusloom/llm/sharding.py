@@ -111,14 +111,17 @@ def _jump_sql(n: int) -> str:
     return f"SELECT id, CAST(b AS INTEGER) AS shard FROM ({sql})"
 
 
+def crc_sql(text: str) -> str:
+    """The unsigned checksum of a text that isn't null, by the column `t` of crc_table_sql()."""
+    steps = f"list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))), lambda c, x: xor(c >> 8, t[xor(c, x) % 256 + 1]))"
+    return f"xor({steps}, 4294967295::BIGINT)"
+
+
 #: The table of the checksum comes from its polynomial.
-_CRC = """
-list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT))),
-  lambda c, x: xor(c >> 8, t[xor(c, x) % 256 + 1]))"""
 _STEP = "(CASE WHEN {0} % 2 = 1 THEN xor({0} // 2, 3988292384::BIGINT) ELSE {0} // 2 END)"
 
 
-def _crc_table_sql() -> str:
+def crc_table_sql() -> str:
     inner = "SELECT i, i AS c FROM range(256) r(i)"
     for _ in range(8):
         inner = f"SELECT i, {_STEP.format('c')} AS c FROM ({inner})"
@@ -127,10 +130,10 @@ def _crc_table_sql() -> str:
 
 ORACLE = {
     "op6_sharding": f"""
-WITH crc_table AS MATERIALIZED ({_crc_table_sql()}),
+WITH crc_table AS MATERIALIZED ({crc_table_sql()}),
 keyed AS (SELECT DISTINCT coalesce(doc_id, 0) AS id, coalesce(doc_id, 0)::HUGEINT AS key FROM documents),
 now8 AS ({_jump_sql(8)}), now9 AS ({_jump_sql(9)}),
-base AS (SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size, xor({_CRC}, 4294967295::BIGINT) AS text_crc32 FROM documents, crc_table)
+base AS (SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size, {crc_sql("coalesce(text, '')")} AS text_crc32 FROM documents, crc_table)
 SELECT b.doc_id, b.size, b.text_crc32, 'key' AS law, a.shard,
   row_number() OVER (PARTITION BY a.shard ORDER BY md5(coalesce(CAST(b.doc_id AS VARCHAR), '')), b.doc_id, b.text_crc32, b.size) - 1 AS slot, g.shard AS grown_shard
 FROM base b JOIN now8 a ON a.id = coalesce(b.doc_id, 0) JOIN now9 g ON g.id = coalesce(b.doc_id, 0)"""
