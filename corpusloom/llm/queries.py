@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import decontaminate, exact_dedup, line_dedup, lm_score, merkle, mixing, quality, sharding, simhash, spelling, suffix_dedup, toxicity
+from corpusloom.llm import chat, decontaminate, exact_dedup, line_dedup, lm_score, merkle, mixing, quality, sharding, simhash, spelling, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_simhash": simhash.op10_simhash,
     "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_chat_format": chat.op12_chat_format,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
-ORACLE_SQL = {**exact_dedup.ORACLE, **mixing.ORACLE, **sharding.ORACLE, **merkle.ORACLE, **spelling.ORACLE}
+ORACLE_SQL = {**exact_dedup.ORACLE, **mixing.ORACLE, **sharding.ORACLE, **merkle.ORACLE, **spelling.ORACLE, **chat.ORACLE}
