@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +11,9 @@ from corpusloom.functions import answers, calendar, identity, text, timeline
 from corpusloom.operators import assemble, geo, planning, quality, resolve, schedule, stats
 from corpusloom.plans import bindings as b
 from corpusloom.plans.bindings import BENCHMARK, FINGERPRINT, JOBS, KNOWN, LABELLED, MOMENTS, PARSED, PARTS, POLYGONS, SENTENCES, TEXTS, VERDICTS
-from corpusloom.sources import readers
-from corpusloom.streaming import ingest
+from corpusloom.session import configured, shared_folder
+from corpusloom.sources import parts, pulls, readers
+from corpusloom.streaming import ingest, progress, resolution
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -762,8 +762,7 @@ def flagship(s: SparkSession, d: str) -> DataFrame:
 
 def _streamed(s: SparkSession, rows: DataFrame, name: str, key: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Writes the rows as files, takes these in as a stream in batches of four files, and returns the last version of each key."""
-    shared = s.conf.get("spark.checkpoint.dir", None) or s.conf.get("spark.sql.warehouse.dir")
-    root = f"{shared.rstrip('/')}/corpusloom/{name}-{uuid.uuid4().hex}"
+    root = shared_folder(s, name)
     rows.repartition(8).write.parquet(f"{root}/in")
     stream = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/in")
     ingest.run_available(build(stream), ingest.checkpoint_for(root, name), ingest.versions_to(f"{root}/out")).awaitTermination()
@@ -782,6 +781,66 @@ def stream_resolution(s, d):
     return _streamed(s, rows, "resolution", "text_sha256", ingest.verdict_stream)
 
 
+# parts that are written, pulled and caught up with
+
+
+def _appended(s: SparkSession, d: str, root: str) -> DataFrame:
+    """Writes the results as parts under root, with their manifests; returns the results."""
+    rows = b.parts(s, d).select("text_sha256", "raw_output", "truncated", "chunk_id", F.lit(FINGERPRINT).alias("config_fingerprint"))
+    parts.append_results(rows, root)
+    return rows
+
+
+@query("SELECT chunk_id, count(*) AS n, count(DISTINCT text_sha256) AS texts, CAST(sum(length(raw_output)) AS BIGINT) AS chars, count(*) FILTER (truncated) AS truncated, count(DISTINCT text_sha256) AS named, 0::BIGINT AS corrupt FROM parts GROUP BY chunk_id", SENTENCES, PARTS)
+def appended_parts(s, d):
+    """Parts and manifests are committed in two phases and read back, each part once and verified."""
+    root = shared_folder(s, "parts")
+    _appended(s, d, root)
+    back = parts.scan_parts(s, root, "text_sha256 string, raw_output string, truncated boolean, chunk_id string")
+    chunk = F.coalesce("chunk_id", F.element_at(F.split("part_key", "/"), 2)).alias("chunk_id")
+    sums = back.groupBy(chunk).agg(
+        F.count("row_index").alias("n"), F.countDistinct("text_sha256").alias("texts"), F.sum(F.char_length("raw_output")).alias("chars"), F.count_if("truncated").alias("truncated"), F.count_if("corrupt").alias("corrupt")
+    )
+    named = parts.read_manifests(s, f"{root}/*/*/*.json").groupBy("chunk_id").agg(F.countDistinct("text_sha256").alias("named"))
+    return sums.join(named, "chunk_id")
+
+
+#: Every third chunk is planned with one text more than there are results.
+_PLANNED = "planned AS (SELECT chunk_id, count(DISTINCT text_sha256) AS done, count(DISTINCT text_sha256) + CASE WHEN CAST('0x' || chunk_id AS INTEGER) % 3 = 0 THEN 1 ELSE 0 END AS size FROM parts GROUP BY chunk_id)"
+
+
+@query("SELECT chunk_id, done, done >= size AS complete, CASE WHEN done >= size THEN 0 ELSE done END AS held FROM planned", SENTENCES, PARTS, _PLANNED)
+def bounded_pulls(s, d):
+    """Manifests are pulled a hundred at a time, each pull a run of its own from the checkpoint; the state of complete chunks is let go."""
+    root = shared_folder(s, "pulls")
+    rows = _appended(s, d, f"{root}/parts")
+    more = (F.conv("chunk_id", 16, 10).cast("int") % 3 == 0).cast("bigint")
+    rows.groupBy("chunk_id").agg(F.countDistinct("text_sha256").alias("n")).select("chunk_id", (F.col("n") + more).alias("size")).write.parquet(f"{root}/lines")
+    lines = s.read.parquet(f"{root}/lines")
+    with configured(s, progress.ROCKSDB):
+        pull = pulls.Pull()
+        while not pull.number or not pull.settled():
+            stream = pulls.manifest_pulls(s, f"{root}/parts/{FINGERPRINT}", f"{root}/log", limits=pulls.Limits(files=100, reconcile=1e9))
+            ingest.run_available(progress.chunk_progress(stream, lines), f"{root}/checkpoint", ingest.versions_to(f"{root}/out")).awaitTermination()
+            pull = pulls.last_pull(f"{root}/log")
+        got = ingest.latest(s, f"{root}/out", "chunk_id").join(progress.held(s, f"{root}/checkpoint"), "chunk_id", "left")
+        got.select("chunk_id", "done", "complete", F.coalesce("held", F.lit(0)).alias("held")).write.parquet(f"{root}/progress")
+    return s.read.parquet(f"{root}/progress")
+
+
+@query("SELECT text_sha256, decision, parse_mode, failure_reason, row_index FROM (SELECT *, row_number() OVER (PARTITION BY text_sha256 ORDER BY part_key, row_index) AS r FROM parsed) WHERE r = 1", SENTENCES, PARTS, PARSED)
+def levelled_resolution(s, d):
+    """Eight batches, in two runs, into levels of runs; the rows carry their own keys here."""
+    root = shared_folder(s, "levels")
+    rows = b.parts(s, d).select("text_sha256", "raw_output", "truncated", "part_key", "row_index")
+    store = resolution.ResolutionStore(s, f"{root}/store", buckets=4, fanout=3)
+    for half in (0, 1):
+        rows.filter(F.pmod(F.xxhash64("text_sha256", "row_index"), F.lit(2)) == half).repartition(4).write.mode("append").parquet(f"{root}/in")
+        stream = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        ingest.run_available(stream, f"{root}/checkpoint", store.sink(), "append").awaitTermination()
+    return store.verdicts().drop("part_key")
+
+
 # records and waits
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.identity import last_components
 from corpusloom.schema import PROVENANCE
+from corpusloom.sources.commit import append_results
+from corpusloom.sources.part_scan import scan_parts
+
+__all__ = ["append_results", "corrupt_parts", "manifest", "manifest_rows", "quarantine", "read_chunk", "read_manifests", "read_valid_parts", "scan_parts", "stamped", "verified_paths", "write_chunks"]
 
 
 def verified_paths(spark: SparkSession, root: str) -> DataFrame:
@@ -19,12 +21,13 @@ def verified_paths(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_valid_parts(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """Rows of the parts whose bytes are whole, with part_key and row_index. The list of paths is driver-side, as for any reader."""
-    good = [r.path for r in verified_paths(spark, root).filter("valid").select("path").toLocalIterator()]
-    if not good:
-        return spark.createDataFrame([], f"{schema}, part_key string, row_index bigint")
-    rows = spark.read.schema(schema).parquet(*sorted(good))
-    return rows.select("*", last_components(F.col("_metadata.file_path")).alias("part_key"), F.col("_metadata.row_index").alias("row_index"))
+    """Rows of the parts whose bytes are whole, with part_key and row_index; each part is read once."""
+    return scan_parts(spark, root, schema).filter("not corrupt").drop("corrupt")
+
+
+def corrupt_parts(spark: SparkSession, root: str) -> DataFrame:
+    """part_key of the parts whose bytes don't hash to their name."""
+    return scan_parts(spark, root, "text_sha256 string").filter("corrupt").select("part_key")
 
 
 def stamped(results: DataFrame, provenance: dict[str, str]) -> DataFrame:
@@ -61,43 +64,12 @@ def _move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"can't rename {source} to {target}")
 
 
-def append_results(results: DataFrame, path: str, rows: int = 50_000) -> None:
-    """Adds parts of `rows` rows at most as path/config_fingerprint/chunk_id/<sha256 of the bytes>.parquet, each with a manifest of that name in JSON.
-
-    Tasks write parts and manifests into a folder of their own and hash them; the driver only renames, parts first. A manifest thus
-    names a part that is there, and doing it again adds nothing. Rows come without a key for null columns of the two.
-    """
-    spark = results.sparkSession
-    new = f"{path.rstrip('/')}/_new-{uuid.uuid4().hex}"
-    keys = {"_fp": F.coalesce("config_fingerprint", F.lit("none")), "_chunk": F.coalesce("chunk_id", F.lit("none"))}
-    results.withColumns(keys).write.option("compression", "zstd").option("maxRecordsPerFile", rows).partitionBy(*keys).parquet(f"{new}/parts")
-    folder = F.regexp_extract("path", "_fp=([^/]+)/_chunk=([^/]+)/", 0)
-    parts = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{new}/parts")
-    parts = parts.select("path", folder.alias("folder"), F.sha2("content", 256).alias("part_id"))
-    parts.write.parquet(f"{new}/names")  # read once, and the same for both uses
-    parts = spark.read.schema(parts.schema).parquet(f"{new}/names")
-    texts = spark.read.schema("text_sha256 string").option("recursiveFileLookup", "true").parquet(f"{new}/parts").select("text_sha256", F.col("_metadata.file_path").alias("path"))
-    manifests = manifest(texts.join(parts.select("path", "part_id"), "path"))
-    manifests.select(F.to_json(F.struct("part_id", "text_sha256s")).alias("value"), "part_id").write.partitionBy("part_id").text(f"{new}/manifests")
-    target = {}
-    for r in parts.toLocalIterator():
-        fingerprint, chunk = (x.split("=", 1)[1] for x in r.folder.strip("/").split("/"))
-        target[r.part_id] = f"{path.rstrip('/')}/{fingerprint}/{chunk}/{r.part_id}"
-        _move(spark, r.path, f"{target[r.part_id]}.parquet")
-    for part_id, to in target.items():
-        fs, at = _file_system(spark, f"{new}/manifests/part_id={part_id}")
-        for found in fs.listStatus(at) if fs.exists(at) else []:
-            _move(spark, found.getPath().toString(), f"{to}.json")
-    fs, at = _file_system(spark, new)
-    fs.delete(at, True)
-
-
 def quarantine(spark: SparkSession, root: str, to: str) -> list[str]:
-    """Moves parts whose bytes don't hash to their name out of the way; returns their keys."""
-    bad = [(r.path, r.key) for r in verified_paths(spark, root).filter("not valid").select("path", "key").toLocalIterator()]
-    for path, key in bad:
-        _move(spark, path, f"{to.rstrip('/')}/{key}")
-    return [key for _, key in bad]
+    """Moves parts whose bytes don't hash to their name out of the way; returns their keys. Damaged parts are taken to be few."""
+    bad = sorted(r.part_key for r in corrupt_parts(spark, root).collect())
+    for key in bad:
+        _move(spark, f"{root.rstrip('/')}/{key}", f"{to.rstrip('/')}/{key}")
+    return bad
 
 
 def manifest(part: DataFrame) -> DataFrame:
