@@ -163,7 +163,7 @@ def read_back(parts: DataFrame, template: Template = TEMPLATE) -> DataFrame:
     ends = "|".join(re.escape(close) for _, close in template.ends())
     begins = F.col("formatted").startswith(template.begin)
     body = F.when(begins, F.expr(f"substring(formatted, {len(template.begin) + 1})")).otherwise(F.col("formatted"))
-    pieces = parts.select("conv_id", "conv", "part", "spans", F.when(begins, len(template.begin)).otherwise(0).alias("lead"), F.posexplode(F.split(body, f"(?<={ends})", -1)).alias("turn", "piece")).filter("piece <> ''")
+    pieces = parts.select("conv_id", "conv", "part", "spans", F.when(begins, len(template.begin)).otherwise(0).alias("lead"), F.posexplode(F.regexp_extract_all(body, F.lit(f"(?s).*?(?:{ends})"), F.lit(0))).alias("turn", "piece"))
     size = F.char_length("piece")
     earlier = Window.partitionBy("conv", "part").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("at", F.col("lead") + F.coalesce(F.sum(size).over(earlier), F.lit(0)))
