@@ -77,20 +77,25 @@ def crosses_forbidden(submitted: Column, start: Column, end: Column) -> Column:
     return F.exists(days, lambda d: inside(_at(d, DAY_START)) | (inside(_at(d, DAY_END)) & ~(evening & (d == F.to_date(submitted)))))
 
 
-def cpu_job_verdict(submitted: Column, walltime_s: Column, expected_start: Column) -> Column:
-    """struct<allowed, reason>: whether a queued job may stay."""
+def verdict(submitted: Column, expected_start: Column, by_day: Column, crosses: Column) -> Column:
+    """struct<allowed, reason> of a queued job: by_day says whether it was submitted in daytime, crosses whether it would cross a boundary."""
     say = lambda ok, why: F.struct(F.lit(ok).alias("allowed"), F.lit(why).alias("reason"))
     late = F.unix_timestamp(expected_start) - F.unix_timestamp(submitted) > START_TOLERANCE
-    end = F.timestamp_seconds(F.unix_timestamp(expected_start) + walltime_s)
     return (
-        F.when(expected_start.isNull() & is_daytime(submitted), say(False, "would start late: no predicted start in daytime"))
+        F.when(expected_start.isNull() & by_day, say(False, "would start late: no predicted start in daytime"))
         .when(expected_start.isNull(), say(True, "night job, start left to the night type"))
-        .when(is_daytime(submitted) & late, say(False, "would start late"))
-        .when(crosses_forbidden(submitted, expected_start, end), say(False, "would cross a day/night boundary"))
+        .when(by_day & late, say(False, "would start late"))
+        .when(crosses, say(False, "would cross a day/night boundary"))
         .otherwise(say(True, "ok"))
     )
 
 
+def cpu_job_verdict(submitted: Column, walltime_s: Column, expected_start: Column) -> Column:
+    """struct<allowed, reason>: whether a queued job may stay. Lists a job's days; operators.boundaries.verdicts looks many jobs up."""
+    end = F.timestamp_seconds(F.unix_timestamp(expected_start) + walltime_s)
+    return verdict(submitted, expected_start, is_daytime(submitted), crosses_forbidden(submitted, expected_start, end))
+
+
 def stale_day_job(submitted: Column, now: Column) -> Column:
     """Whether a waiting job that was submitted by day is to be deleted."""
     waited = F.unix_timestamp(now) - F.unix_timestamp(submitted) > START_TOLERANCE

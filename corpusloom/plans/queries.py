@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import answers, calendar, identity, text, timeline
-from corpusloom.operators import assemble, geo, planning, quality, resolve, schedule, stats
+from corpusloom.operators import assemble, boundaries, geo, planning, quality, resolve, schedule, stats
 from corpusloom.plans import bindings as b
 from corpusloom.plans.bindings import BENCHMARK, FINGERPRINT, JOBS, KNOWN, LABELLED, MOMENTS, PARSED, PARTS, POLYGONS, SENTENCES, TEXTS, VERDICTS
 from corpusloom.session import configured, shared_folder
@@ -717,14 +717,12 @@ def calendar_daytime(s, d):
 
 @query("SELECT event_id, EXISTS (SELECT 1 FROM work w, (VALUES (9), (19)) e(h) WHERE w.working AND w.day + to_hours(e.h) > m.start AND w.day + to_hours(e.h) < m.\"end\" AND NOT (e.h = 19 AND w.day = CAST(m.submitted AS DATE) AND hour(m.submitted) >= 17)) AS crosses FROM moments m", _EASTER, MOMENTS)
 def boundary_crossing(s, d):
-    x = b.moments(s, d)
-    return x.select("event_id", calendar.crosses_forbidden(F.col("submitted"), F.col("start"), F.col("end")).alias("crosses"))
+    return boundaries.crossings(b.moments(s, d)).select("event_id", "crosses")
 
 
 @query("SELECT event_id, CASE WHEN dt AND epoch(start) - epoch(submitted) > 600 THEN 'would start late' WHEN x THEN 'would cross a day/night boundary' ELSE 'ok' END AS reason FROM (SELECT event_id, submitted, start, EXISTS (SELECT 1 FROM work w WHERE w.working AND w.day = CAST(submitted AS DATE)) AND hour(submitted) >= 9 AND hour(submitted) < 19 AS dt, EXISTS (SELECT 1 FROM work w, (VALUES (9), (19)) e(h) WHERE w.working AND w.day + to_hours(e.h) > m.start AND w.day + to_hours(e.h) < m.\"end\" AND NOT (e.h = 19 AND w.day = CAST(m.submitted AS DATE) AND hour(m.submitted) >= 17)) AS x FROM moments m)", _EASTER, MOMENTS)
 def job_verdicts(s, d):
-    x = b.moments(s, d)
-    return x.select("event_id", calendar.cpu_job_verdict(F.col("submitted"), F.col("walltime_s"), F.col("start"))["reason"].alias("reason"))
+    return boundaries.verdicts(b.moments(s, d)).select("event_id", "reason")
 
 
 @query("SELECT event_id, event_id % 3 = 0 AND epoch(start) - epoch(submitted) > 7200 AS zombie, event_id % 2 = 0 AND event_id % 3 = 0 AND epoch(start) - epoch(submitted) >= 1200 AS stale FROM moments", MOMENTS)
