@@ -95,7 +95,7 @@ def compare(reference: DataFrame, verdicts: DataFrame, items: DataFrame) -> dict
     """Q10. The gate between published predictions and ours. items: item_id, text_sha256."""
     ours = items.join(verdicts, "text_sha256").select("item_id", F.when(F.col("decision").isin("yes", "no"), F.col("decision")).alias("predicted"))
     pairs = quality.complete_pairs(reference, ours)
-    return {"gate": quality.gate(pairs), "reference": quality.macro_scores(pairs, "reference"), "candidate": quality.macro_scores(pairs, "candidate")}
+    return {"gate": quality.gate_over_strata(pairs), "reference": quality.macro_scores(pairs, "reference"), "candidate": quality.macro_scores(pairs, "candidate")}
 
 
 def recipe(spark: SparkSession, inputs: DataFrame, labels: DataFrame, generations: DataFrame, keys: list[str]) -> DataFrame:

@@ -142,12 +142,10 @@ def test_gate_equals_a_plain_bootstrap(spark):
     items = gate_items()
     df = spark.createDataFrame(items, "language string, item_id string, expected string, reference string, candidate string")
     low, high = plain_gate(items, 500, 3)
-    r = quality.gate(df.orderBy(F.rand(5)), 500, 3).first()
+    r = quality.exact_gate(df.orderBy(F.rand(5)), 500, 3).first()
     assert np.allclose([r.f1_lower, r.mcc_lower, r.accuracy_lower, r.failed_rate_upper], [low[0], low[1], low[3], high[2]])
     assert not r.passed and r.reasons and r.worst_language in ("de", "en", "fr")
-    s = quality.gate_at_scale(df, 4000).first()
-    assert np.allclose([s.f1_lower, s.accuracy_lower, s.failed_rate_upper], [low[0], low[3], high[2]], atol=0.03)
-    same = quality.gate(df.withColumn("candidate", F.col("reference")), 50).first()
+    same = quality.exact_gate(df.withColumn("candidate", F.col("reference")), 50).first()
     assert same.passed and same.agreement == 1.0 and same.f1_lower == 0.0
     with pytest.raises(Exception, match="have no candidate"):
         quality.complete_pairs(df.withColumnRenamed("reference", "predicted").drop("candidate"), df.filter("item_id <> 'de0000'").withColumnRenamed("candidate", "predicted")).collect()
@@ -295,3 +293,32 @@ def test_rounds_of_a_large_cell(spark):
     assert len(got) == len(rows) and all(0 <= got[f"ff{n}"] < 300 for n in range(5))
     nowhere = planning.rounds(texts.filter("cell is null")).collect()
     assert [r["round"] for r in nowhere] == [0] * 5
+
+
+def test_gate_over_strata_agrees_with_the_exact_gate(spark):
+    """Ten thousand resamples each: bounds within 0.003, which is some three standard errors of a quantile here; all else is equal."""
+    df = spark.createDataFrame(gate_items(), "language string, item_id string, expected string, reference string, candidate string")
+    exact, r = quality.exact_gate(df).first(), quality.gate_over_strata(df.repartition(7)).first()
+    assert list(exact.asDict()) == list(r.asDict()) and exact.worst_language == r.worst_language and exact.passed == r.passed
+    assert [x.split(" lower")[0].split(" upper")[0].split(" F1")[0] for x in exact.reasons] == [x.split(" lower")[0].split(" upper")[0].split(" F1")[0] for x in r.reasons]
+    close = lambda names, by: all(abs(exact[n] - r[n]) <= by for n in names)
+    assert close(["delta_f1", "delta_mcc", "delta_failed_rate", "delta_accuracy", "agreement", "worst_language_delta_f1"], 1e-12)
+    assert close(["f1_lower", "mcc_lower", "accuracy_lower", "failed_rate_upper"], 0.003)
+    again = quality.gate_over_strata(df.coalesce(1)).first()  # the draws don't depend on how rows are dealt out
+    assert all(abs(again[n] - r[n]) < 1e-12 for n in ("f1_lower", "mcc_lower", "accuracy_lower", "failed_rate_upper"))
+
+
+def test_gate_over_strata_of_any_size(spark):
+    """A language of a billion items is as dear as one of ten: its bounds are its points. By cap, each gate is its own."""
+    held = np.array([0, 3, 1, 2, 5, 1, 1, 1, 1, 7, 1, 1, 2, 4, 1, 1, 2, 3]) * 40_000_000
+    drawn = quality._stratum_rng(0, "x", 0).multinomial(held.sum(), held / held.sum(), size=200)
+    spread = (quality._metrics(drawn, 1) - quality._metrics(drawn, 0)).std(axis=1)
+    assert (spread < 1e-4).all() and (drawn.sum(axis=1) == held.sum()).all()
+    rows_ = [(lang, i, e, p, 100 * (i % 10)) for lang, i, e, p, _ in ((x[0], j, *x[2:]) for j, x in enumerate(gate_items(40)))]
+    df = spark.createDataFrame(rows_, "language string, item_id int, expected string, predicted string, generated_tokens int")
+    got = {r.cap: r for r in quality.simulate_budgets(df, [50, 450, 5000], resamples=2000).collect()}
+    assert got.keys() == {50, 450, 5000} and got[5000].passed and got[5000].f1_lower == 0 and got[5000].agreement == 1.0
+    assert not got[50].passed and got[50].rate == 0.9 and got[50].f1_lower < got[450].f1_lower < 0
+    assert [x.split()[0] for x in got[50].reasons] == ["macro-F1", "macro-MCC", "macro-accuracy", "failed-rate", "language"]
+    empty = df.limit(0).withColumnsRenamed({"predicted": "reference"}).withColumn("candidate", F.col("reference"))
+    assert quality.gate_over_strata(empty).count() == 0
