@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ LEAST_SENTENCES = 10
 
 
 def grid_cell(lon: Column, lat: Column) -> Column:
-    """Cells of one degree. hex_cell is the usual one, where its library is there."""
+    """Cells of one degree, which are smaller towards the poles. cells.sphere_cell has cells of one area in a hierarchy; hex_cell is for maps that must match hexagons."""
     return F.concat(F.round(lon).cast("bigint").cast("string"), F.lit("/"), F.round(lat).cast("bigint").cast("string"))
 
 
@@ -93,6 +93,13 @@ def merged_cells(cells: DataFrame) -> DataFrame:
     return cells.groupBy("cell").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
 
 
+def rolled_up(cells: DataFrame, orders: Sequence[int]) -> DataFrame:
+    """order, cell, yes, no: the counts of cells of functions.cells, and of the cells of smaller orders that hold them. Each row is counted once by order, before it is shuffled."""
+    at = F.explode(F.array(*[F.lit(o) for o in sorted(set(orders))])).alias("order")
+    rows = cells.select(at, "cell", "yes", "no").filter(F.char_length("cell") > F.col("order"))
+    return rows.groupBy("order", F.expr("substring(cell, 1, `order` + 1)").alias("cell")).agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+
+
 def cell_shares(cells: DataFrame, least: int = LEAST_SENTENCES) -> DataFrame:
     """cell, yes, no, share: null for cells of too few sentences."""
     n = F.col("yes") + F.col("no")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions import answers, calendar, identity, text, timeline
+from corpusloom.functions import answers, calendar, cells, identity, text, timeline
 from corpusloom.operators import assemble, boundaries, geo, planning, quality, resolve, schedule, stats
 from corpusloom.plans import bindings as b
 from corpusloom.plans.bindings import BENCHMARK, FINGERPRINT, JOBS, KNOWN, LABELLED, MOMENTS, PARSED, PARTS, POLYGONS, SENTENCES, TEXTS, VERDICTS
@@ -399,6 +399,40 @@ def placed(s: SparkSession, d: str) -> DataFrame:
 _GEO = (*_ALL, POLYGONS, _PLACED)
 
 
+#: Events as answers at places all over the world, whole thousandths of a degree.
+_SPOTS = "spots AS (SELECT event_id, (event_id * 7919 % 359999) / 1000 - 180 AS lon, (event_id * 104729 % 179999) / 1000 - 90 AS lat, value > 50 AS yes FROM events)"
+
+
+def _sphere_sql(order: int = cells.ORDER) -> str:
+    """The cell of each spot, step by step."""
+    n = 1 << order
+    digits = " || ".join(f"CAST((y >> {k}) % 2 * 2 + (x >> {k}) % 2 AS VARCHAR)" for k in reversed(range(order)))
+    return f"""points AS (SELECT event_id, yes, sin(radians(lat)) AS z, (CASE WHEN lon < 0 THEN lon + 360 ELSE lon END) / 90 AS t FROM spots),
+lines AS (SELECT *, CAST(floor({n} * (t + 0.5::DOUBLE) - {n} * 0.75::DOUBLE * z) AS BIGINT) AS a, CAST(floor({n} * (t + 0.5::DOUBLE) + {n} * 0.75::DOUBLE * z) AS BIGINT) AS b, least(3, CAST(floor(t) AS BIGINT)) AS q, {n} * sqrt(3 * (1 - abs(z))) AS r FROM points),
+caps AS (SELECT *, least({n - 1}, CAST(floor((t - q) * r) AS BIGINT)) AS c, least({n - 1}, CAST(floor((1 - (t - q)) * r) AS BIGINT)) AS e, abs(z) <= 2.0::DOUBLE / 3.0::DOUBLE AS belt FROM lines),
+faced AS (SELECT event_id, yes, CASE WHEN belt THEN CASE WHEN a // {n} = b // {n} THEN a // {n} % 4 + 4 WHEN a // {n} < b // {n} THEN a // {n} ELSE b // {n} + 8 END WHEN z >= 0 THEN q ELSE q + 8 END AS face,
+  CASE WHEN belt THEN b % {n} WHEN z >= 0 THEN {n - 1} - e ELSE c END AS x, CASE WHEN belt THEN {n - 1} - a % {n} WHEN z >= 0 THEN {n - 1} - c ELSE e END AS y FROM caps),
+celled AS (SELECT event_id, yes, substr('{cells.FACES}', CAST(face + 1 AS BIGINT), 1) || {digits} AS cell FROM faced)"""
+
+
+def _spots(s: SparkSession, d: str) -> DataFrame:
+    k = F.col("event_id")
+    x = b.table(s, d, "events").select(k, ((k * 7919 % 359999) / 1000 - 180).alias("lon"), ((k * 104729 % 179999) / 1000 - 90).alias("lat"), (F.col("value") > 50).alias("yes"))
+    return x.select("event_id", "yes", cells.sphere_cell()(F.col("lon"), F.col("lat")).alias("cell"))
+
+
+@query("SELECT event_id, cell FROM celled", _SPOTS, _sphere_sql())
+def sphere_cells(s, d):
+    return _spots(s, d).select("event_id", "cell")
+
+
+@query("SELECT CAST(o AS INTEGER) AS \"order\", substr(cell, 1, o + 1) AS cell, count(*) FILTER (yes) AS yes, count(*) FILTER (NOT yes) AS no FROM celled, (VALUES (0), (2), (4), (6)) r(o) GROUP BY 1, 2", _SPOTS, _sphere_sql())
+def rolled_up_cells(s, d):
+    """Cells and those that hold them: a cell's counts are its children's sums."""
+    rows = _spots(s, d).withColumn("decision", F.when(F.col("yes"), "yes").otherwise("no"))
+    return geo.rolled_up(geo.binned(rows), [0, 2, 4, 6])
+
+
 @query("SELECT cell, count(*) FILTER (decision = 'yes') AS yes, count(*) FILTER (decision = 'no') AS no FROM placed WHERE decision IN ('yes', 'no') AND cell IS NOT NULL GROUP BY cell", *_GEO)
 def cell_binning(s, d):
     return geo.binned(placed(s, d))
