@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import answers, calendar, cells, identity, text, timeline
-from corpusloom.operators import assemble, boundaries, geo, planning, quality, resolve, schedule, stats
+from corpusloom.operators import assemble, boundaries, geo, planning, quality, resolve, schedule, stats, timelines
 from corpusloom.plans import bindings as b
 from corpusloom.plans.bindings import BENCHMARK, FINGERPRINT, JOBS, KNOWN, LABELLED, MOMENTS, PARSED, PARTS, POLYGONS, SENTENCES, TEXTS, VERDICTS
 from corpusloom.session import configured, shared_folder
 from corpusloom.sources import parts, pulls, readers
-from corpusloom.streaming import ingest, progress, resolution
+from corpusloom.streaming import flush, ingest, plan_builder, progress, resolution
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -885,6 +885,52 @@ def levelled_resolution(s, d):
     return store.verdicts().drop("part_key")
 
 
+@query("SELECT chunk_id, 0 AS ord_rank, ord_file, size, prompt_tokens, seq FROM chunks", SENTENCES, TEXTS, _FILE_ORDER, _CHUNKS)
+def grown_plan(s, d):
+    """The plan of chunk_ids(), grown in three appends with the tail held back until the end."""
+    builder = plan_builder.PlanBuilder(s, shared_folder(s, "plan"), CHUNK, F.lit(FINGERPRINT))
+    unique = planning.unique_texts(b.sentences(s, d)).select("text_sha256", "file_idx", F.length("text").alias("prompt_tokens"), F.lit(0).alias("ord_rank"), F.col("file_idx").alias("ord_file"))
+    last = b.files(s, d).agg(F.max("file_idx")).first()[0] or 0
+    for k in range(3):
+        builder.append(unique.filter((F.col("file_idx") * 3 >= k * (last + 1)) & (F.col("file_idx") * 3 < (k + 1) * (last + 1))), k)
+        builder.emit(final=k == 2, per=100)
+    return planning.plan_lines(builder.emitted())
+
+
+@query("SELECT chunk_id, count(*) // 20 * 20 AS out, count(*) % 20 AS held, count(*) // 20 AS flushes FROM parts GROUP BY chunk_id HAVING count(*) >= 20", SENTENCES, PARTS)
+def flushed_parts(s, d):
+    """Results go out by twenty a chunk, over two batches; what isn't full waits."""
+    root = shared_folder(s, "flush")
+    rows = b.parts(s, d).select("text_sha256", "raw_output", "chunk_id", F.lit(FINGERPRINT).alias("config_fingerprint"))
+    rows.repartition(4).write.parquet(f"{root}/in")
+    with configured(s, progress.ROCKSDB):
+        stream = flush.flushed(s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in"), ["chunk_id"], rows=20, seconds=None)
+        ingest.run_available(stream, f"{root}/checkpoint", flush.parts_sink(f"{root}/out", f"{root}/ledger"), "append").awaitTermination()
+        progress.held(s, f"{root}/checkpoint", "waiting").write.parquet(f"{root}/held")
+    out = parts.read_valid_parts(s, f"{root}/out", "chunk_id string, flush long").groupBy("chunk_id").agg(F.count(F.lit(1)).alias("out"), F.max("flush").alias("flushes"))
+    return out.join(s.read.parquet(f"{root}/held"), "chunk_id", "left").select("chunk_id", "out", F.coalesce("held", F.lit(0)).alias("held"), "flushes")
+
+
+#: Events as reports of jobs: the wall clock is set now and then.
+_REPORTS = """
+reports AS (SELECT user_id || '/' || CAST(CAST(ts AS DATE) AS VARCHAR) AS job, ts + to_hours(CAST(event_id % 7 - 3 AS BIGINT)) AS wall, epoch_us(ts) AS mono, CASE event_type WHEN 'signup' THEN 'engine_ready' WHEN 'error' THEN 'signal' ELSE 'result' END AS kind, event_id FROM events),
+anchors AS (SELECT job, min(struct_pack(m := mono, w := wall)) AS a, min(mono) FILTER (kind = 'engine_ready') AS ready, min(mono) FILTER (kind = 'result') AS first, max(mono) FILTER (kind = 'result') AS last, max(mono) AS final,
+  CAST(max(CASE WHEN event_id % 3 <> 0 THEN event_id % 100 END) AS INTEGER) AS env_ready_seconds, max(event_id % 9 * 600) AS walltime_s, max(event_id % 5000) AS assigned_texts FROM reports GROUP BY job)"""
+_STAMP = "strftime(a.w + to_microseconds({} - a.m), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS {}"
+_STAMPS = ", ".join(_STAMP.format(c, n) for n, c in (("started_at", "a.m"), ("engine_ready_at", "ready"), ("first_result_at", "first"), ("last_result_at", "last"), ("ended_at", "final")))
+
+
+@query(f"SELECT job, {_STAMPS}, env_ready_seconds, walltime_s, assigned_texts FROM anchors", _REPORTS)
+def job_timelines(s, d):
+    k, ts = F.col("event_id"), F.col("ts").cast("timestamp")
+    kind = F.when(F.col("event_type") == "signup", "engine_ready").when(F.col("event_type") == "error", "signal").otherwise("result")
+    x = b.table(s, d, "events").select(
+        F.concat_ws("/", F.col("user_id").cast("string"), F.to_date("ts").cast("string")).alias("job"), F.timestamp_micros(F.unix_micros(ts) + (k % 7 - 3) * 3_600_000_000).alias("wall"), (F.unix_micros(ts) / 1e6).alias("mono"), kind.alias("kind"),
+        F.when(k % 3 != 0, (k % 100).cast("string")).otherwise("?").alias("env_ready"), (k % 9 * 600).alias("walltime_s"), (k % 5000).alias("assigned_texts"),
+    )
+    return timelines.timeline_records(x)
+
+
 # records and waits
 
 

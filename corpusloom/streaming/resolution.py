@@ -10,7 +10,6 @@ Everything stands under the version of the parser: verdicts of another version a
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.answers import PARSER_VERSION, parse_generation
 from corpusloom.sources.commit import opened
+from corpusloom.sources.states import keep_state, last_state
 from corpusloom.streaming import ingest
 
 VERDICTS = "text_sha256 string, decision string, parse_mode string, failure_reason string, part_key string, row_index long"
@@ -48,12 +48,8 @@ class ResolutionStore:
 
     def levels(self) -> Levels:
         """The last state that was written."""
-        fs, base = opened(self.root)
-        names = sorted(x.base_name for x in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)) if x.is_file and x.base_name.startswith("state-"))
-        if not names:
-            return Levels()
-        with fs.open_input_stream(f"{base}/{names[-1]}") as stream:
-            return Levels(**json.loads(stream.read()))
+        state = last_state(self.root)
+        return Levels(**state) if state else Levels()
 
     def add(self, parts: DataFrame, batch: int) -> Levels:
         """Takes in rows of parts (text_sha256, raw_output, truncated, part_key, row_index), as batch number `batch`; a batch that is in already changes nothing."""
@@ -106,17 +102,8 @@ class ResolutionStore:
 
     def _keep(self, state: Levels) -> None:
         """Writes the state, then forgets the state before the last and the runs that only older states name."""
+        named = {n for kept in keep_state(self.root, state.number, asdict(state)) for n in Levels(**kept).names()}
         fs, base = opened(self.root)
-        with fs.open_output_stream(f"{base}/next") as out:
-            out.write(json.dumps(asdict(state)).encode())
-        fs.move(f"{base}/next", f"{base}/state-{state.number:09d}.json")
-        states = sorted(x.path for x in fs.get_file_info(pafs.FileSelector(base)) if x.is_file and x.base_name.startswith("state-"))
-        named: set[str] = set()
-        for path in states[-2:]:
-            with fs.open_input_stream(path) as stream:
-                named |= set(Levels(**json.loads(stream.read())).names())
-        for path in states[:-2]:
-            fs.delete_file(path)
         for x in fs.get_file_info(pafs.FileSelector(f"{base}/runs")):
             if x.base_name.removeprefix("run=") not in named:
                 fs.delete_dir(x.path)
