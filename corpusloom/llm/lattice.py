@@ -7,13 +7,13 @@ an edge. The forward recursion, in log space, adds up every path, so no single s
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 
 NONE = -np.inf
-#: Longer pieces aren't used; words above this size go one by one.
-LONGEST_PIECE, ONE_BY_ONE = 16, 48
+#: Longer pieces are few, so they are looked up only where their first so many bytes stand; words above this size go one by one.
+COMMON_PIECE, ONE_BY_ONE = 16, 48
 _BASE, _MIX = np.uint64(0x100000001B3), (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _SLOTS = 18
 
@@ -31,13 +31,20 @@ def read_vocabulary(path: str) -> dict[bytes, float]:
     weights: dict[bytes, float] = {}
     for rank, i in enumerate(sorted(plain, key=lambda i: (-model.get_score(i), i))):
         piece = model.id_to_piece(i).replace("▁", " ").encode()
-        if len(piece) <= LONGEST_PIECE and b" " not in piece[1:] and piece == piece.lower():
+        if b" " not in piece[1:] and piece == piece.lower():
             weights[piece] = weights.get(piece, 0.0) + 1 / (rank + 2.7)
     for b in range(256):
         weights[bytes([b])] = weights.get(bytes([b]), 0.0) + 1e-6
     return weights
 
 
+def _code(piece: bytes) -> int:
+    code = 1
+    for b in piece:
+        code = (code * int(_BASE) + b + 1) & 0xFFFFFFFFFFFFFFFF
+    return code
+
+
 @dataclass(frozen=True)
 class Lattice:
     """Pieces, their natural log probabilities (a column for each class), and hash tables from piece codes to numbers."""
@@ -47,15 +54,15 @@ class Lattice:
     logp: np.ndarray
     codes: np.ndarray
     slots: tuple[np.ndarray, np.ndarray]
+    longest: int
+    heads: frozenset[bytes]  # of the long pieces
+    head_codes: np.ndarray
 
     @staticmethod
     def of(pieces: list[bytes], logp: np.ndarray) -> Lattice:
-        codes = np.zeros(len(pieces), np.uint64)
-        for i, piece in enumerate(pieces):
-            code = 1
-            for b in piece:
-                code = (code * int(_BASE) + b + 1) & 0xFFFFFFFFFFFFFFFF
-            codes[i] = code
+        codes = np.fromiter(map(_code, pieces), np.uint64, len(pieces))
+        heads = frozenset(p[:COMMON_PIECE] for p in pieces if len(p) > COMMON_PIECE)
+        head_codes = np.fromiter(map(_code, sorted(heads)), np.uint64, len(heads))
         first, second = np.full(1 << _SLOTS, -1, np.int32), np.full(1 << _SLOTS, -1, np.int32)
         for i, at in enumerate(((codes * _MIX[0]) >> np.uint64(64 - _SLOTS)).tolist()):
             first[at] = i if first[at] < 0 else first[at]
@@ -66,10 +73,10 @@ class Lattice:
             while second[at] >= 0:  # rare: linear probing
                 at = (at + 1) % (1 << _SLOTS)
             second[at] = i
-        return Lattice(pieces, {p: i for i, p in enumerate(pieces)}, logp.reshape(len(pieces), -1), codes, (first, second))
+        return Lattice(pieces, {p: i for i, p in enumerate(pieces)}, logp.reshape(len(pieces), -1), codes, (first, second), max(map(len, pieces), default=0), heads, head_codes)
 
     def with_logp(self, logp: np.ndarray) -> Lattice:
-        return Lattice(self.pieces, self.where, logp, self.codes, self.slots)
+        return replace(self, logp=logp)
 
     def numbers(self, code: np.ndarray) -> np.ndarray:
         """The piece of each code, or -1."""
@@ -91,12 +98,22 @@ class Lattice:
         n = words.shape[1]
         for i in range(n):
             code = np.ones(len(words), np.uint64)
-            for j in range(i + 1, min(n, i + LONGEST_PIECE) + 1):
+            for j in range(i + 1, min(n, i + COMMON_PIECE) + 1):
                 code = code * _BASE + words[:, j - 1].astype(np.uint64) + np.uint64(1)
                 number = self.numbers(code)
                 rows = np.flatnonzero(number >= 0)
                 if len(rows):
                     yield i, j, rows, number[rows]
+            if n <= i + COMMON_PIECE or not len(self.head_codes):
+                continue
+            left = np.flatnonzero(np.isin(code, self.head_codes))
+            code = code[left]
+            for j in range(i + COMMON_PIECE + 1, min(n, i + self.longest) + 1) if len(left) else ():
+                code = code * _BASE + words[left, j - 1].astype(np.uint64) + np.uint64(1)
+                number = self.numbers(code)
+                rows = np.flatnonzero(number >= 0)
+                if len(rows):
+                    yield i, j, left[rows], number[rows]
 
     def likelihoods(self, words: list[bytes], counts: np.ndarray | None = None, expected: np.ndarray | None = None) -> np.ndarray:
         """The log probability of each word, over all segmentations, in each class: a row for each word.
@@ -137,14 +154,16 @@ class Lattice:
 
     def _reached(self, text: bytes, i: int) -> Iterator[tuple[int, int]]:
         """End and number of the pieces that start at i."""
-        for j in range(i + 1, min(len(text), i + LONGEST_PIECE) + 1):
+        for j in range(i + 1, min(len(text), i + self.longest) + 1):
+            if j == i + COMMON_PIECE + 1 and text[i : j - 1] not in self.heads:
+                return
             if (piece := self.where.get(text[i:j])) is not None:
                 yield j, piece
 
     def _one(self, text: bytes, counts: np.ndarray | None, expected: np.ndarray | None) -> np.ndarray:
         """The same for one long word. Without expectations, only as many columns are kept as a piece can span."""
         n, learn = len(text), counts is not None and expected is not None
-        turn = n + 1 if learn else LONGEST_PIECE + 1
+        turn = n + 1 if learn else self.longest + 1
         forward = np.full((turn, self.logp.shape[1]), NONE)
         forward[0] = 0
         for i in range(n):

@@ -1,7 +1,7 @@
 """Language-model scoring with a subword lattice.
 
-The vocabulary and its scores exist; nothing about them is trained. The scores weight all segmentations of the corpus's words once,
-and the expected uses of each piece, summed over the training documents, give its probability in each language class.
+The vocabulary and its scores exist, and all its pieces are used. The scores weight all segmentations of the corpus's words; two passes then
+re-estimate each piece's probability in each language class from its expected uses in the training documents, with the scores as a small prior.
 A word's probability is the marginal over its lattice: every segmentation, and, for a word seen in training, one edge
 over the whole word (Witten and Bell's share of the mass for each). A text is a mixture over the classes, so
 its probability, too, is a marginal.

@@ -33,6 +33,41 @@ def test_marginal_equals_the_sum_over_all_segmentations():
     assert np.allclose([lattice._one(b" " + w, None, None)[0] for w in words], np.log(want))
 
 
+def test_pieces_of_any_length_are_edges():
+    """Pieces of up to 40 bytes, two with one head: every segmentation counts, in short words and in those that go one by one; so do expected uses."""
+    pieces = [b" ", b"a", b"b", b" a", b"ab" * 8, b"ab" * 8 + b"a", b"ab" * 10, b"ab" * 10 + b"b" * 20, b" " + b"ab" * 9]
+    logp = np.log(np.arange(1, len(pieces) + 1) / sum(range(len(pieces) + 1)))
+    lattice = Lattice.of(pieces, logp)
+    words = [b"ab" * 8, b"ab" * 9, b"b" + b"ab" * 10, b"ab" * 10 + b"b" * 20, b"ab" * 12 + b"b" * 3, b"ab" * 10 + b"b" * 19, b"ab" * 10 + b"b" * 40]
+
+    def marginal(text):  # by position, as there are many segmentations
+        reach = [1.0] + [0.0] * len(text)
+        for i in range(len(text)):
+            for p, x in zip(pieces, logp, strict=True):
+                if text.startswith(p, i):
+                    reach[i + len(p)] += reach[i] * math.exp(x)
+        return math.log(reach[-1])
+
+    want = [marginal(b" " + w) for w in words]
+    assert np.allclose(lattice.likelihoods(words)[:, 0], want)
+    assert np.allclose([lattice._one(b" " + w, None, None)[0] for w in words], want)
+    counts, both = np.ones((len(words), 1)), [np.zeros((1, len(pieces))) for _ in range(2)]
+    lattice.likelihoods(words, counts, both[0])
+    for w in words:
+        lattice._one(b" " + w, np.ones(1), both[1])
+    assert np.allclose(*both) and (both[0][0, 4:] > 0).all()
+
+
+def test_every_piece_that_a_text_can_hold_is_in_the_lattice():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=default_vocabulary())
+    plain = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
+    held = {p for p in (model.id_to_piece(i).replace("\u2581", " ").encode() for i in plain) if p == p.lower() and b" " not in p[1:]}
+    vocabulary = read_vocabulary(default_vocabulary())
+    assert held <= vocabulary.keys() and max(map(len, held)) > 16
+
+
 def test_expected_uses_are_posteriors():
     pieces, logp = small_lattice()
     lattice = Lattice.of(pieces, logp)
