@@ -12,7 +12,7 @@ from corpusloom.operators import assemble, boundaries, geo, planning, quality, r
 from corpusloom.plans import bindings as b
 from corpusloom.plans.bindings import BENCHMARK, FINGERPRINT, JOBS, KNOWN, LABELLED, MOMENTS, PARSED, PARTS, POLYGONS, SENTENCES, TEXTS, VERDICTS
 from corpusloom.session import configured, shared_folder
-from corpusloom.sources import parts, pulls, readers
+from corpusloom.sources import marks, parts, pulls, readers
 from corpusloom.streaming import flush, ingest, plan_builder, progress, resolution
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -931,6 +931,24 @@ def job_timelines(s, d):
     return timelines.timeline_records(x)
 
 
+@query("SELECT source_file, file_idx // 8 AS run, count(*) AS sentences FROM sentences GROUP BY ALL", SENTENCES)
+def resumed_runs(s, d):
+    """Eight files a run, each run behind the marks of the one before."""
+    root = shared_folder(s, "runs")
+    work, n, run = b.files(s, d).withColumnRenamed("source_file", "path"), 1, 0
+    job = marks.FileMarks(s, root, "count")
+    while n:
+        n = job.run(work, lambda some, run=run: b.sentences(s, d).join(some.select(F.col("path").alias("source_file")), "source_file").groupBy("source_file").agg(F.count(F.lit(1)).alias("sentences")).withColumn("run", F.lit(run).cast("bigint")).write.parquet(f"{root}/out/{run}"), 8)
+        run += 1
+    return s.read.option("recursiveFileLookup", "true").parquet(f"{root}/out").select("source_file", "run", "sentences")
+
+
+@query("SELECT 'labels/' || s_name AS path, s_suppkey AS rows FROM supplier WHERE s_suppkey % 3 <> 0")
+def reset_counts(s, d):
+    kind = F.when(F.col("s_suppkey") % 3 == 0, "generations/").otherwise("labels/")
+    return marks.without_generation_counts(b.table(s, d, "supplier").select(F.concat(kind, "s_name").alias("path"), F.col("s_suppkey").alias("rows")))
+
+
 # records and waits
 
 
