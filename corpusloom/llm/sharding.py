@@ -57,17 +57,23 @@ def jump_shard(key: Column, shards: int) -> Column:
 FILE_DIGITS = 8
 
 
-def file_order(docs: DataFrame) -> Column | None:
-    """Where a row stands in the files that docs was read from, as hex digits that sort alike; None if it isn't read from files.
+def file_order(docs: DataFrame) -> Column:
+    """Where a row stands in the files that docs was read from, as hex digits that sort alike.
 
-    Spark numbers the files of a sorted write in order, so this is the order in which the rows were sorted.
+    Spark numbers the files of a sorted write in order, so this is the order in which the rows were sorted. Rows that aren't read from files, or have a column
+    of their own named _metadata, are refused; files with other names than Spark's are an error when they are read, as their order isn't known.
     """
-    number = F.coalesce(F.expr("try_cast(regexp_extract(_metadata.file_name, 'part-([0-9]+)', 1) as bigint)"), F.lit(0).cast("bigint"))
-    place = F.concat(F.lpad(F.hex(number), FILE_DIGITS, "0"), F.lpad(F.hex(F.col("_metadata.row_index")), 12, "0"))
+    name = F.col("_metadata.file_name")
+    part, cut = (F.regexp_extract(name, "^part-([0-9]+)(?:.*-c([0-9]+)\\.)?", k) for k in (1, 2))
+    hexed = lambda text, digits: F.lpad(F.hex(F.when(text == "", "0").otherwise(text).cast("bigint")), digits, "0")
+    known = F.when(part == "", F.raise_error(F.concat(F.lit("no order is known for "), name)).cast("string")).otherwise(hexed(part, FILE_DIGITS))
+    place = F.concat(known, hexed(cut, 6), F.lpad(F.hex(F.col("_metadata.row_index")), 12, "0"))
+    if "_metadata" in docs.columns:
+        raise ValueError("a column of its own named _metadata hides the files' order")
     try:
         docs.select(place)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        raise ValueError("rows that aren't read from files have no order of files") from e
     return place
 
 
@@ -77,7 +83,7 @@ def shard_documents(docs: DataFrame, shards: int, in_file_order: bool = False, k
     Returns doc_id, size (UTF-8 bytes plus 1), text_crc32, law ('key'), shard, slot (gapless from 0 within
     the shard, in the order of md5(doc_id), so a shard reads in shuffled order), grown_shard (the shard
     with one shard more) and the columns of `keep`. With in_file_order, slots follow the order of the rows in the files that docs
-    was read from: each shard then holds its part of that order. One output row for each input row. A null doc_id is keyed as 0; a
+    was read from, which must be files that Spark wrote (see file_order): each shard then holds its part of that order. One output row for each input row. A null doc_id is keyed as 0; a
     null text counts as empty for size and is a text of its own only in that its crc is that of the empty text; repeated rows take
     neighbouring slots; an empty table gives an empty result; other columns are ignored.
     """

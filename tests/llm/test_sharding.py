@@ -1,6 +1,8 @@
 import zlib
 from collections import Counter
 
+import pytest
+
 from corpusloom.llm.sharding import jump_shard, shard_documents
 from tests.llm.helpers import F, documents, rows
 
@@ -41,3 +43,22 @@ def test_edge_rows(spark):
     assert sorted(r[:4] for r in got if r[0] == 5) == [(5, 3, zlib.crc32("é".encode()), "key")] * 2
     assert sorted(r[5] for r in got if r[0] == 5) in ([0, 1], [1, 2])
     assert (None, 1, 0, "key") in [r[:4] for r in got]
+
+
+def test_file_order_or_an_error(spark, tmp_path):
+    """Files of one task that the writer cut up keep their order; where no order is known, there is an error, not another order."""
+    docs = documents(spark, [(i, f"text {i}") for i in range(60)])
+    docs.repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id").write.option("maxRecordsPerFile", 7).parquet(f"{tmp_path}/cut")
+    got = shard_documents(spark.read.parquet(f"{tmp_path}/cut"), 4, in_file_order=True).collect()
+    for s in range(4):
+        own = [r.doc_id for r in sorted((r for r in got if r.shard == s), key=lambda r: r.slot)]
+        assert own == sorted(own) and [r.slot for r in sorted((r for r in got if r.shard == s), key=lambda r: r.slot)] == list(range(len(own)))
+    for i, f in enumerate(sorted((tmp_path / "cut").glob("part-*"))):
+        f.rename(tmp_path / "cut" / f"chunk{i}.parquet")
+        f.with_name(f".{f.name}.crc").unlink()
+    with pytest.raises(Exception, match="no order is known for chunk"):
+        shard_documents(spark.read.parquet(f"{tmp_path}/cut"), 4, in_file_order=True).collect()
+    with pytest.raises(ValueError, match="aren't read from files"):
+        shard_documents(docs, 4, in_file_order=True)
+    with pytest.raises(ValueError, match="_metadata"):
+        shard_documents(spark.read.parquet(f"{tmp_path}/cut").withColumn("_metadata", F.lit(1)), 4, in_file_order=True)
