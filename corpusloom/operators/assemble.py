@@ -78,13 +78,19 @@ def write_by_file(table: DataFrame, path: str, files: DataFrame | None = None) -
     wrote, since an empty table must not exist. Other files are left alone.
     """
     spark = table.sparkSession
-    table.hint("rebalance", "source_file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("source_file").parquet(path)
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    if files is None or not any(x.isDirectory() and x.getPath().getName().startswith("source_file=") for x in fs.listStatus(at)):
+    any_there = lambda: fs.exists(at) and any(x.isDirectory() and x.getPath().getName().startswith("source_file=") for x in fs.listStatus(at))
+    names = lambda: set(spark.read.schema("source_file string").parquet(path).inputFiles()) if any_there() else set()
+    before = names() if files is not None else set()
+    table.hint("rebalance", "source_file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("source_file").parquet(path)
+    if files is None or not any_there():
         return
-    there = spark.read.schema("source_file string").parquet(path).select("source_file", F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1).alias("folder")).distinct()
-    stale = there.join(files.select("source_file").distinct(), "source_file", "left_semi").join(table.select("source_file").distinct(), "source_file", "left_anti")
+    # What was written has new files, so that the table needn't be asked again.
+    written = spark.createDataFrame(sorted({(f.rsplit("/", 2)[-2],) for f in names() - before}), "name string")
+    folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1)
+    there = spark.read.schema("source_file string").parquet(path).select("source_file", folder.alias("folder"), F.substring_index(folder, "/", -1).alias("name")).distinct()
+    stale = there.join(files.select("source_file").distinct(), "source_file", "left_semi").join(written, "name", "left_anti")
     for r in stale.toLocalIterator():
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(r.folder)), True)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import answers, calendar, config, identity, text, timeline
 
 LONG = "luf_failure:input_too_long:"
+#: Outputs and what the parser must make of them.
 PARSED = [
     ("reasoning says yes and no</think>yes", False, ("yes", "exact", None)),
     ("x</think>\n\nno", False, ("no", "exact", None)),

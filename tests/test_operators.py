@@ -264,6 +264,10 @@ def test_files_without_rows_lose_their_tables(spark, tmp_path):
     assert {(r.sentence, r.source_file) for r in spark.read.parquet(path).collect()} == {("d", "v/f1.parquet"), ("c", "other")}
     assemble.write_by_file(rows(), path, files)
     assert {(r.sentence, r.source_file) for r in spark.read.parquet(path).collect()} == {("c", "other")}
+    asked = spark.sparkContext.accumulator(0)
+    once = F.udf(lambda x: asked.add(1) or x, "string").asNondeterministic()
+    assemble.write_by_file(rows(("e", "v/f2.parquet"), ("f", "new")).withColumn("sentence", once("sentence")), path, files)
+    assert {r.source_file for r in spark.read.parquet(path).collect()} == {"other", "v/f2.parquet", "new"} and asked.value == 2
 
 
 def test_greedy_prefix_sums_over_runs(spark, monkeypatch):
