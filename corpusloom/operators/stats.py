@@ -11,6 +11,8 @@ from corpusloom.functions import timeline as t
 DECISIONS = ("yes", "no", "failed", "skipped_unsplit", "pending")
 #: Sentences a second of a GPU without a profile.
 DEFAULT_RATE = 1.4
+#: Requests at once of a GPU without a profile: as a profile's default, and when a job is launched; and its part of memory.
+DEFAULT_WINDOW, LAUNCH_WINDOW, DEFAULT_MEMORY = 64, 16, 0.75
 SETUP_SECONDS = 480
 
 
@@ -71,6 +73,15 @@ def live(assignments: DataFrame, fingerprint: Column) -> DataFrame:
     return assignments.filter(F.col("state").isin("submitting", "submitted") & (F.col("fp") == fingerprint))
 
 
+def with_profiles(rows: DataFrame, profiles: DataFrame, window: int = DEFAULT_WINDOW) -> DataFrame:
+    """Adds max_running_requests, mem_fraction_static, cuda_graph_max_bs, sentences_per_second and calibrated of each row's gpu_key: the profile's, and where there is none, or
+    it leaves a value out, the default. A launch uses LAUNCH_WINDOW instead of the default window. Of several profiles of one key the last by gpu counts; a key may be null."""
+    defaults = {"max_running_requests": F.lit(window), "mem_fraction_static": F.lit(DEFAULT_MEMORY), "cuda_graph_max_bs": F.lit(None).cast("int"), "sentences_per_second": F.lit(DEFAULT_RATE), "calibrated": F.lit(False)}
+    one = profiles.groupBy(F.col("gpu_key").alias("_key")).agg(F.max_by(F.struct(*[F.col(c).alias(c) for c in defaults]), "gpu").alias("_profile"))
+    joined = rows.join(one, rows["gpu_key"] == one["_key"], "left")
+    return joined.select(*[rows[c] for c in rows.columns], *[F.coalesce(F.col(f"_profile.{c}"), d).alias(c) for c, d in defaults.items()])
+
+
 def dataset_status(lines: DataFrame, complete: DataFrame, jobs: DataFrame, profiles: DataFrame) -> DataFrame:
     """dataset, chunks, chunks_complete, texts, texts_complete, live_jobs, rate, eta_hours.
 

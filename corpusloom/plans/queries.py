@@ -849,6 +849,11 @@ def appended_parts(s, d):
     return sums.join(named, "chunk_id")
 
 
+def _stateful(s: SparkSession) -> dict[str, str]:
+    """Settings of the stateful streams here: there are 256 chunks, so a few partitions of state do."""
+    return progress.ROCKSDB | {"spark.sql.shuffle.partitions": str(min(16, int(s.conf.get("spark.sql.shuffle.partitions"))))}
+
+
 #: Every third chunk is planned with one text more than there are results.
 _PLANNED = "planned AS (SELECT chunk_id, count(DISTINCT text_sha256) AS done, count(DISTINCT text_sha256) + CASE WHEN CAST('0x' || chunk_id AS INTEGER) % 3 = 0 THEN 1 ELSE 0 END AS size FROM parts GROUP BY chunk_id)"
 
@@ -861,7 +866,7 @@ def bounded_pulls(s, d):
     more = (F.conv("chunk_id", 16, 10).cast("int") % 3 == 0).cast("bigint")
     rows.groupBy("chunk_id").agg(F.countDistinct("text_sha256").alias("n")).select("chunk_id", (F.col("n") + more).alias("size")).write.parquet(f"{root}/lines")
     lines = s.read.parquet(f"{root}/lines")
-    with configured(s, progress.ROCKSDB):
+    with configured(s, _stateful(s)):
         pull = pulls.Pull()
         while not pull.number or not pull.settled():
             stream = pulls.manifest_pulls(s, f"{root}/parts/{FINGERPRINT}", f"{root}/log", limits=pulls.Limits(files=100, reconcile=1e9))
@@ -903,7 +908,7 @@ def flushed_parts(s, d):
     root = shared_folder(s, "flush")
     rows = b.parts(s, d).select("text_sha256", "raw_output", "chunk_id", F.lit(FINGERPRINT).alias("config_fingerprint"))
     rows.repartition(4).write.parquet(f"{root}/in")
-    with configured(s, progress.ROCKSDB):
+    with configured(s, _stateful(s)):
         stream = flush.flushed(s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in"), ["chunk_id"], rows=20, seconds=None)
         ingest.run_available(stream, f"{root}/checkpoint", flush.parts_sink(f"{root}/out", f"{root}/ledger"), "append").awaitTermination()
         progress.held(s, f"{root}/checkpoint", "waiting").write.parquet(f"{root}/held")
@@ -949,6 +954,14 @@ def reset_counts(s, d):
     return marks.without_generation_counts(b.table(s, d, "supplier").select(F.concat(kind, "s_name").alias("path"), F.col("s_suppkey").alias("rows")))
 
 
+@query("SELECT user_id, CAST(day AS VARCHAR) AS day, CASE gpu WHEN 'click' THEN 96 ELSE 64 END AS max_running_requests, CASE gpu WHEN 'click' THEN 0.9 ELSE 0.75 END::DOUBLE AS mem_fraction_static, CAST(NULL AS INTEGER) AS cuda_graph_max_bs, CASE gpu WHEN 'click' THEN 5.5 WHEN 'view' THEN 3.6 ELSE 1.4 END::DOUBLE AS sentences_per_second, gpu = 'click' AS calibrated FROM jobs", JOBS)
+def profile_defaults(s, d):
+    schema = "gpu string, gpu_key string, max_running_requests int, mem_fraction_static double, cuda_graph_max_bs int, sentences_per_second double, calibrated boolean"
+    profiles = s.createDataFrame([("c", "click", 96, 0.9, None, 5.5, True), ("v", "view", None, None, None, 3.6, None)], schema)
+    x = b.jobs(s, d).select("user_id", F.col("day").cast("string").alias("day"), F.col("gpu").alias("gpu_key"))
+    return stats.with_profiles(x, profiles).drop("gpu_key")
+
+
 # records and waits
 
 

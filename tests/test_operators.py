@@ -326,3 +326,12 @@ def test_gate_over_strata_of_any_size(spark):
     assert [x.split()[0] for x in got[50].reasons] == ["macro-F1", "macro-MCC", "macro-accuracy", "failed-rate", "language"]
     empty = df.limit(0).withColumnsRenamed({"predicted": "reference"}).withColumn("candidate", F.col("reference"))
     assert quality.gate_over_strata(empty).count() == 0
+
+
+def test_profiles_fill_in_defaults(spark):
+    rows_ = spark.createDataFrame([("j1", "l40s"), ("j2", "a40"), ("j3", "new"), ("j4", None)], "job string, gpu_key string")
+    schema = "gpu string, gpu_key string, max_running_requests int, mem_fraction_static double, cuda_graph_max_bs int, sentences_per_second double, calibrated boolean"
+    profiles = spark.createDataFrame([("L40S", "l40s", 96, 0.9, 8, 5.5, True), ("A40", "a40", None, None, None, 3.6, None), ("A40 old", "a40", 32, None, None, None, None)], schema)
+    got = {r.job: tuple(r)[2:] for r in stats.with_profiles(rows_, profiles, stats.LAUNCH_WINDOW).collect()}
+    assert got == {"j1": (96, 0.9, 8, 5.5, True), "j2": (32, 0.75, None, 1.4, False), "j3": (16, 0.75, None, 1.4, False), "j4": (16, 0.75, None, 1.4, False)}
+    assert stats.with_profiles(rows_, profiles.limit(0)).select("max_running_requests").distinct().collect()[0][0] == 64
