@@ -50,13 +50,13 @@ def _cut(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[str, st
             end = at + sum(1 for _ in run)
             while at < end:
                 if held and (k != key or n >= rows or size >= BYTES):
-                    yield (*key, pa.Table.from_batches(held))
+                    yield (*key, pa.Table.from_batches(held).combine_chunks())
                     held, n, size = [], 0, 0
                 take = min(end - at, rows - n, max(1, (BYTES - size) // each))
                 held.append(data.slice(at, take))
                 key, at, n, size = k, at + take, n + take, size + take * each
     if held:
-        yield (*key, pa.Table.from_batches(held))
+        yield (*key, pa.Table.from_batches(held).combine_chunks())
 
 
 def stage(results: DataFrame, root: str, rows: int = ROWS) -> str:
@@ -128,7 +128,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 def append_results(results: DataFrame, root: str, rows: int = ROWS) -> int:
     """Adds results as root/config_fingerprint/chunk_id/<sha256 of the bytes>.parquet, each with a manifest of that name in JSON; returns the number of parts.
 
-    Doing it again with the same rows adds nothing, and mends damaged copies."""
+    Doing it again adds nothing, as long as the rows come dealt out alike, and mends damaged copies."""
     return publish(results.sparkSession, root, stage(results, root, rows))
 
 
