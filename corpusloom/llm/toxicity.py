@@ -24,6 +24,8 @@ MOST_LABELS, MOST_FEATURES = 20_000, 1024
 #: A feature is in so many training documents at least.
 LEAST_DOCUMENTS = 4
 PENALTY, COUNTERFACTUAL, STEPS = 0.3, 10.0, 8
+#: Tasks that sum a step up, over MOST_LABELS rows at most, and sums in a row of what they send to the driver (256 KB).
+TASKS, SENT = 4, 1 << 15
 #: Identity terms by kind, of the corpus's four languages; a term is swapped for the next one of its kind, the last for the first.
 IDENTITY = (
     # English
@@ -119,10 +121,26 @@ def _vocabulary(rows: DataFrame, most: int, swap: dict[bytes, bytes]) -> list[by
     return list(dict.fromkeys([*swap, *(bytes(r.feature) for r in best)]))
 
 
+def sums_sent(grad: np.ndarray, hess: np.ndarray) -> pa.RecordBatch:
+    """The gradient and the upper triangle of the Hessian, which is symmetric: at, sums, in rows of SENT sums at most."""
+    sums = np.concatenate([grad, hess[np.triu_indices(len(grad))]])
+    at = range(0, len(sums), SENT)
+    return pa.RecordBatch.from_pydict({"at": pa.array(at, pa.int64()), "sums": pa.array([sums[a : a + SENT].tobytes() for a in at], pa.binary())})
+
+
+def sums_read(sums: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The gradient and the Hessian of what sums_sent made."""
+    hess = np.zeros((size, size))
+    hess[np.triu_indices(size)] = sums[size:]
+    hess += np.triu(hess, 1).T
+    return sums[:size], hess
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, fold: int = 0, most: int = MOST_LABELS, counterfactual: float = COUNTERFACTUAL, identity: Sequence[Sequence[str]] = IDENTITY) -> ToxicityModel | None:
     """Learns from the labelled documents outside the held-out fold; None if there are none.
 
-    Each step of Newton's method sums the partitions' parts of the gradient and the Hessian, of fixed size.
+    Each step of Newton's method sums the partitions' parts of the gradient and the Hessian, of fixed size: TASKS triangles of some
+    4.5 MB reach the driver, in small rows and one partition at a time, however many partitions the rows came in.
     """
     rows = staged(training_rows(docs, labels, label, folds, fold, most), "toxic-training")
     n = rows.count()
@@ -141,7 +159,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds
             ints = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, ints), pa.array(other, ints)], ["y", "x", "swap"])
 
-    table_ = staged(rows.select("text", "y").mapInArrow(index, "y int, x array<int>, swap array<int>"), "toxic-features").coalesce(12)
+    table_ = staged(rows.select("text", "y").mapInArrow(index, "y int, x array<int>, swap array<int>"), "toxic-features").coalesce(TASKS)
 
     def dense(lists: list[list[int]]) -> np.ndarray:
         out = np.zeros((len(lists), size), np.float64)
@@ -166,7 +184,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds
                         both = change.T @ change * counterfactual
                         grad += both @ weights
                         hess += both
-            yield pa.RecordBatch.from_pydict({"sums": pa.array([np.vstack([grad, hess]).tobytes()], pa.binary())})
+            yield sums_sent(grad, hess)
 
         return run
 
@@ -174,10 +192,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds
     ridge = PENALTY * np.ones(size)
     ridge[-1] = 1e-6
     for _ in range(STEPS):
-        sums = np.zeros((size + 1, size))
-        for r in table_.mapInArrow(step(weights), "sums binary").toLocalIterator():  # one partition's sums at a time
-            sums += np.frombuffer(r.sums).reshape(size + 1, size)
-        move = np.linalg.solve(sums[1:] + np.diag(ridge), sums[0] + ridge * weights)
+        sums = np.zeros(size + size * (size + 1) // 2)
+        for r in table_.mapInArrow(step(weights), "at long, sums binary").toLocalIterator(prefetchPartitions=True):
+            part = np.frombuffer(r.sums)
+            sums[r.at : r.at + len(part)] += part
+        grad, hess = sums_read(sums, size)
+        hess[np.diag_indices(size)] += ridge
+        move = np.linalg.solve(hess, grad + ridge * weights)
         weights = weights - move
         if np.abs(move).max() < 1e-4:
             break

@@ -130,3 +130,28 @@ def test_identity_terms_are_a_parameter_and_their_rows_are_counted(spark):
     german = fit_toxicity(documents(spark, texts), labels)
     assert 0 < german.counterfactuals < ours.counterfactuals
     assert fit_toxicity(documents(spark, texts), labels, identity=[]).counterfactuals == 0
+
+
+def test_what_a_step_sends_to_the_driver_is_small(spark, monkeypatch):
+    from corpusloom.llm import toxicity
+
+    rng = random.Random(6)
+    docs = documents(spark, [(i, prose(rng, 30) + (" vilest" if i % 3 == 0 else "")) for i in range(400)]).repartition(40)
+    truth, sent, steps = labels(spark, [(i, 1, int(i % 3 == 0)) for i in range(400)]), [], []
+    plain = type(docs).toLocalIterator
+
+    def watched(self, *args, **kwargs):
+        steps.append(1)
+        for r in plain(self, *args, **kwargs):
+            sent.append(len(r.sums))
+            yield r
+
+    monkeypatch.setattr(type(docs), "toLocalIterator", watched)
+    model = fit_toxicity(docs, truth)
+    n = len(model.weights)
+    assert steps and max(sent) <= 256 << 10 and sum(sent) <= len(steps) * toxicity.TASKS * 8 * (n + n * (n + 1) // 2)
+    x = np.random.default_rng(7).normal(size=(50, n))
+    hess, grad = x.T @ x, x.sum(0)
+    batch = toxicity.sums_sent(grad, hess)
+    back = toxicity.sums_read(np.concatenate([np.frombuffer(s) for s in batch.column("sums").to_pylist()]), n)
+    assert np.array_equal(back[0], grad) and np.allclose(back[1], hess)
