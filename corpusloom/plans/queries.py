@@ -893,10 +893,13 @@ def levelled_resolution(s, d):
 @query("SELECT chunk_id, 0 AS ord_rank, ord_file, size, prompt_tokens, seq FROM chunks", SENTENCES, TEXTS, _FILE_ORDER, _CHUNKS)
 def grown_plan(s, d):
     """The plan of chunk_ids(), grown in three appends with the tail held back until the end."""
-    builder = plan_builder.PlanBuilder(s, shared_folder(s, "plan"), CHUNK, F.lit(FINGERPRINT))
+    root = shared_folder(s, "plan")
+    builder = plan_builder.PlanBuilder(s, root, CHUNK, F.lit(FINGERPRINT))
     unique = planning.unique_texts(b.sentences(s, d)).select("text_sha256", "file_idx", F.length("text").alias("prompt_tokens"), F.lit(0).alias("ord_rank"), F.col("file_idx").alias("ord_file"))
     last = b.files(s, d).agg(F.max("file_idx")).first()[0] or 0
     for k in range(3):
+    unique.write.option("compression", "zstd").parquet(f"{root}/unique")
+    unique = s.read.parquet(f"{root}/unique")  # each append reads its files' texts several times
         builder.append(unique.filter((F.col("file_idx") * 3 >= k * (last + 1)) & (F.col("file_idx") * 3 < (k + 1) * (last + 1))), k)
         builder.emit(final=k == 2, per=100)
     return planning.plan_lines(builder.emitted())

@@ -61,13 +61,16 @@ class PlanBuilder:
         n = self.spark.read.parquet(f"{self.root}/texts/{name}").count()
         return self._keep(plan, batch=batch, segments=[*plan.segments, (name, first, n)])
 
-    def emit(self, final: bool = False, per: int = EMIT_BATCH, on_batch: Callable[[int], None] = lambda emitted: None, should_stop: Callable[[], bool] = lambda: False) -> int:
-        """Emits the chunks that are full, `per` at a time, and if it is final the last one, too; returns how many. on_batch gets the number so far; no batch starts once should_stop() is true."""
+    def emit(self, final: bool = False, per: int = EMIT_BATCH, on_batch: Callable[[int], None] | None = None, should_stop: Callable[[], bool] | None = None) -> int:
+        """Emits the chunks that are full, `per` at a time, and if it is final the last one, too; returns how many. on_batch gets the number so far; no batch starts once should_stop() is true.
+
+        Where nobody watches or stops it, all go out in one write: each batch is a job that looks through its appends, so that many small ones cost more than the texts."""
         plan, before = self.plan(), self.plan().chunks
         while True:
             left = plan.rows() - plan.emitted
-            n = min(per, -(-left // self.size) if final else left // self.size)
-            if not n or should_stop():
+            n = -(-left // self.size) if final else left // self.size
+            n = min(per, n) if on_batch or should_stop else n
+            if not n or should_stop and should_stop():
                 return plan.chunks - before
             until = min(plan.rows(), plan.emitted + n * self.size)
             some = [s for s in plan.segments if s[1] < until and s[1] + s[2] > plan.emitted]
@@ -76,7 +79,8 @@ class PlanBuilder:
             chunks = chunks.withColumns({"group": F.col("group").cast("bigint") + plan.chunks, "ordinal": F.col("ordinal") + plan.emitted})
             chunks.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/chunks/{plan.emissions:09d}")
             plan = self._keep(plan, emitted=until, chunks=plan.chunks + n, emissions=plan.emissions + 1)
-            on_batch(plan.chunks - before)
+            if on_batch:
+                on_batch(plan.chunks - before)
 
     def emitted(self) -> DataFrame | None:
         """The texts of the chunks so far, with ordinal, group and chunk_id; None if there are none."""

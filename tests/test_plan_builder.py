@@ -77,3 +77,10 @@ def test_a_stream_of_texts(spark, tmp_path):
         stream = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
         ingest.run_available(stream, f"{tmp_path}/check", builder.sink(per=50), "append").awaitTermination(120)
     assert ids(builder.emitted()) == whole(spark, data, 5, final=False)
+
+
+def test_what_nobody_watches_goes_out_in_one_write(spark, tmp_path):
+    data, builder = texts(range(3), 6), PlanBuilder(spark, str(tmp_path / "p"), 3, F.lit("f"))
+    builder.append(spark.createDataFrame(data, SCHEMA), 0)
+    assert builder.emit(final=True, per=2) == -(-len(data) // 3) > 2 and builder.plan().emissions == 1
+    assert ids(builder.emitted()) == whole(spark, data, 3)
