@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,32 +36,29 @@ class Flush(StatefulProcessor):
         self.state = handle.getValueState("state", "held long, flushes long")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        names = self.columns.names
-        value = lambda v, whole: None if pd.isna(v) else int(v) if whole else v
-        new = [tuple(map(value, r, self.whole)) for frame in rows for r in frame[names].itertuples(index=False, name=None)]
         held, flushes = self.state.get() or (0, 0)
-        if held + len(new) < self.rows:
-            self.waiting.appendList(new)
-        else:
-            every = [*self.waiting.get(), *new] if held else new
-            whole = len(every) // self.rows * self.rows
-            for at in range(0, whole, self.rows):
-                flushes += 1
-                yield self._out(every[at : at + self.rows], flushes)
-            new, held = every[whole:], 0
+        new, kept = pd.concat([frame[self.columns.names] for frame in rows], ignore_index=True), held
+        if held + len(new) >= self.rows:
+            # Whole flushes go out in one frame, whatever their number: what is held comes first and fills up the first of them.
+            take = (held + len(new)) // self.rows * self.rows - held
+            flushes, out = self._out(held, new.iloc[:take], flushes)
+            yield out
+            new, kept = new.iloc[take:], 0
             self._no_timers()
-            self.waiting.put(new) if new else self.waiting.clear()
-        held += len(new)
-        self.state.update((held, flushes))
-        if held and self.seconds is not None and not list(self.handle.listTimers()):
+            self.waiting.clear()
+        if len(new):
+            self.waiting.appendList(self._values(new))
+        self.state.update((kept + len(new), flushes))
+        if kept + len(new) and self.seconds is not None and not list(self.handle.listTimers()):
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + round(self.seconds * 1000))
 
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
         held, flushes = self.state.get() or (0, 0)
         if held:
-            yield self._out(list(self.waiting.get()), flushes + 1)
+            flushes, out = self._out(held, None, flushes)
+            yield out
             self.waiting.clear()
-            self.state.update((0, flushes + 1))
+            self.state.update((0, flushes))
 
     def close(self) -> None:
         pass
@@ -69,8 +67,18 @@ class Flush(StatefulProcessor):
         for timer in list(self.handle.listTimers()) if self.seconds is not None else ():
             self.handle.deleteTimer(timer)
 
-    def _out(self, rows: list[tuple], number: int) -> pd.DataFrame:
-        return pd.DataFrame([tuple(r) for r in rows], columns=self.columns.names).assign(flush=number)
+    def _values(self, rows: pd.DataFrame) -> list[tuple]:
+        """Rows for the state, which knows no NaN: fewer than a flush has."""
+        value = lambda v, whole: None if pd.isna(v) else int(v) if whole else v
+        return [tuple(map(value, r, self.whole)) for r in rows.itertuples(index=False, name=None)]
+
+    def _out(self, held: int, new: pd.DataFrame | None, flushes: int) -> tuple[int, pd.DataFrame]:
+        """The number of flushes so far, and what is held, then the new rows, numbered in flushes of `rows`."""
+        before = pd.DataFrame([tuple(r) for r in self.waiting.get()], columns=self.columns.names, dtype=object) if held else None
+        rows = [x for x in (before, new) if x is not None]
+        rows = pd.concat([x.astype(object) for x in rows], ignore_index=True) if len(rows) > 1 else rows[0]
+        number = np.arange(len(rows)) // self.rows + flushes + 1
+        return int(number[-1]), rows.assign(flush=number)
 
 
 def flushed(stream: DataFrame, keys: list[str], rows: int = MOST_ROWS, seconds: float | None = MOST_SECONDS) -> DataFrame:

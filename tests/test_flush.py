@@ -88,3 +88,37 @@ def test_old_rows_go_out_by_the_clock(spark, tmp_path, rocks):
 def test_at_least_one_row(spark):
     with pytest.raises(ValueError):
         flush.Flush(spark.createDataFrame([], SCHEMA).schema, 0, 1)
+
+
+def test_whole_flushes_go_out_in_one_frame(spark):
+    import pandas as pd
+
+    class Handle(list):
+        def getListState(self, *a):
+            return self
+
+        appendList = list.extend
+
+        def get(self):
+            return iter(list(self))
+
+        def getValueState(self, *a):
+            class Value:
+                now = None
+
+                def get(self):
+                    return self.now
+
+                def update(self, now):
+                    self.now = now
+
+            return Value()
+
+    columns = spark.createDataFrame([], "chunk_id string, n int").schema
+    task, handle = flush.Flush(columns, 10, None), Handle()
+    task.init(handle)
+    frame = lambda a, b: pd.DataFrame({"chunk_id": "c", "n": range(a, b)})
+    assert list(task.handleInputRows(("c",), iter([frame(0, 4), frame(4, 7)]), None)) == [] and len(handle) == 7
+    (out,) = task.handleInputRows(("c",), iter([frame(7, 30), frame(30, 45)]), None)
+    assert out.n.tolist() == list(range(40)) and out.flush.tolist() == [i // 10 + 1 for i in range(40)]
+    assert list(handle) == [("c", n) for n in range(40, 45)] and task.state.get() == (5, 4)
