@@ -3,9 +3,9 @@ import random
 import numpy as np
 import pytest
 
-from corpusloom.llm.near_copies import FAR, BITS, TABLES, near_copy_groups, one_of_each_group, wide_print
+from corpusloom.llm.near_copies import FAR, BITS, TABLES, _across, _may_be_similar, _prints, _proposed, marks, near_copy_groups, one_of_each_group, wide_print
 from corpusloom.llm.simhash import shingles
-from tests.llm.helpers import documents, rows
+from tests.llm.helpers import F, documents, rows
 
 VOCABULARY = [f"w{i}" for i in range(500)]
 
@@ -81,3 +81,33 @@ def test_edge_rows(spark):
     assert sorted(near_copy_groups(docs).collect(), key=str) == sorted([(None, 1), (1, 1), (1, 1), (None, None), (7, 7), (8, 7)], key=str)
     assert sorted((r.doc_id, r.text) for r in one_of_each_group(docs.filter("doc_id is not null")).collect()) == [(1, "a b c"), (7, None)]
     assert rows(near_copy_groups(documents(spark, []))) == []
+
+
+def test_marks_drop_no_similar_pair():
+    rng = np.random.default_rng(8)
+    dropped = 0
+    for _ in range(400):
+        n, share = int(rng.integers(1, 400)), rng.uniform(0.5, 1)
+        h, common = rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64), max(1, int(n * share))
+        a, b = h[:n], np.concatenate([h[:common], h[n : 2 * n - common]])
+        marked, size = np.frombuffer(marks(a) + marks(b), np.uint64).reshape(2, -1), np.array([n, n])
+        may = bool(_may_be_similar(marked, size, np.array([0]), np.array([1]))[0])
+        assert may or common < 0.8 * (2 * n - common)
+        dropped += not may
+    assert dropped > 100
+
+
+def test_texts_that_are_alike_but_not_similar_make_no_rows(spark):
+    """A base text with many variants, each two of which have a similarity of some 0.65: the tries propose nearly all of their pairs."""
+    rng = random.Random(9)
+    words, texts = say(rng, 100), []
+    for i in range(120):
+        copy = list(words)
+        for at in rng.sample(range(0, 100, 5), 2):
+            copy[at] = f"x{i}y{at}"
+        texts.append(" ".join(copy))
+    nodes = _prints(documents(spark, list(enumerate(texts)))).withColumn("u", F.col("doc_id")).withColumn("root", F.col("doc_id")).drop("doc_id", "k1", "k2")
+    unproven = nodes.withColumn("size", F.lit(1 << 40))  # so large that marks prove nothing
+    assert _proposed(unproven, 120, _across, 1 << 18).count() > 1000
+    got = {(r.v, r.u) for r in _proposed(nodes, 120, _across, 1 << 18).collect()}
+    assert len(got) < 400 and len(set(brute(texts)[1]) - got) <= 1  # a pair at the limit is proposed with probability 0.9998
