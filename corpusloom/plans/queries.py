@@ -728,7 +728,7 @@ def launch_plan(s, d):
     plan = schedule.LaunchPlan(12, 4)
     ranked = schedule.enough_slots(schedule.ranked_slots(_slots(s, d), 480.0), plan.most_total, plan.most_per_site).orderBy("rank").collect()
     lines = b.table(s, d, "orders").select("o_orderkey", "o_custkey").orderBy("o_orderkey").toLocalIterator()
-    plan = plan.fill([(str(r.site), str(r.cluster), int(r.free_nodes), float(r.useful)) for r in ranked], [(str(r[0]), int(r[1])) for r in lines], [])
+    plan = plan.fill([(str(r.site), str(r.cluster), int(r.free_nodes), float(r.useful)) for r in ranked], ((str(r[0]), int(r[1])) for r in lines), [])
     return s.createDataFrame([(x.index, x.site, x.cluster, len(x.chunks)) for x in plan], "index int, site string, cluster string, chunks int")
 
 

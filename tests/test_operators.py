@@ -182,6 +182,24 @@ def test_launch_plan_reaches_all_sites_and_orders(spark, tmp_path):
     assert len(got) == 12 and sum(r[3] for r in got) > 2000
 
 
+def test_launch_plan_reads_orders_only_as_far_as_needed(spark, tmp_path, monkeypatch):
+    spark.range(1, 101).selectExpr("id AS s_suppkey", "id % 25 AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(50_000).selectExpr("id AS o_orderkey", "5000L AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    left, fill = [], schedule.LaunchPlan.fill
+
+    def watched(self, ranked, lines, taken):
+        lines = iter(lines)
+        out = fill(self, ranked, lines, taken)
+        left.append(next(lines, None))
+        return out
+
+    monkeypatch.setattr(schedule.LaunchPlan, "fill", watched)
+    handed = []
+    monkeypatch.setattr(schedule, "_Lines", type("Lines", (schedule._Lines,), {"__init__": lambda self, lines, taken, f=schedule._Lines.__init__: (handed.append(lines), f(self, lines, taken))[1]}))
+    assert queries.launch_plan(spark, str(tmp_path)).count() == 12
+    assert left[0] is not None and type(handed[0]).__name__ == "generator"
+
+
 def test_ledgers(spark, tmp_path):
     path = str(tmp_path / "l.jsonl")
     ledgers.append_ledger(path, [{"k": "a", "v": 1}, {"k": "b", "v": 2}])
