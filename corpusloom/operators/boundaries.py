@@ -60,6 +60,22 @@ def crossings(jobs: DataFrame) -> DataFrame:
     return with_crossings(jobs, working_days(jobs.sparkSession, *days))
 
 
+def with_day_starts(rows: DataFrame, moment: str) -> DataFrame:
+    """Adds daytime and next_day_start (as calendar's functions of those names say) of a timestamp column, looked up by its day; rows without a moment get nulls."""
+    r = rows.agg(F.to_date(F.min(moment)).alias("a"), F.to_date(F.max(moment)).alias("b")).first()
+    found = rows.withColumn("_day", F.to_date(moment))
+    if r.a is None:
+        return found.drop("_day").withColumns({"daytime": F.lit(None).cast("boolean"), "next_day_start": F.lit(None).cast("timestamp")})
+    # A row a day of the span: whether it is a working day, and the first 09:00 for moments before 09:00 and for those after it.
+    days = calendar.calendar(rows.sparkSession, str(r.a), str(r.b))
+    early, late = (calendar.next_day_start(F.timestamp_seconds(F.unix_date("day").cast("bigint") * 86400 + s)) for s in (0, DAY_START))
+    index = days.select(F.col("day").alias("_day"), F.col("working").alias("_working"), early.alias("_early"), late.alias("_late"))
+    second = calendar.second_of_day(F.col(moment))
+    by_day = F.col("_working") & (second >= DAY_START) & (second < DAY_END)
+    out = found.join(F.broadcast(index), "_day", "left")  # 366 rows a year
+    return out.select(*[F.col(c) for c in rows.columns], by_day.alias("daytime"), F.when(second < DAY_START, F.col("_early")).otherwise(F.col("_late")).alias("next_day_start"))
+
+
 def verdicts(jobs: DataFrame) -> DataFrame:
     """Adds allowed and reason: whether a queued job may stay. jobs have submitted, start (the expected one, null if unknown) and walltime_s."""
     ends = jobs.withColumn("end", F.timestamp_seconds(F.unix_timestamp("start") + F.col("walltime_s")))

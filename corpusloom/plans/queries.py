@@ -757,8 +757,8 @@ def calendar_days(s, d):
 
 @query("SELECT event_id, coalesce(w.working, false) AND hour(submitted) >= 9 AND hour(submitted) < 19 AS daytime, epoch(CASE WHEN hour(submitted) < 9 AND coalesce(w.working, false) THEN CAST(submitted AS DATE) + INTERVAL 9 HOUR ELSE (SELECT min(day) FROM work n WHERE n.working AND n.day > CAST(submitted AS DATE)) + INTERVAL 9 HOUR END)::BIGINT AS next_start FROM moments LEFT JOIN work w ON w.day = CAST(submitted AS DATE)", _EASTER, MOMENTS)
 def calendar_daytime(s, d):
-    x = b.moments(s, d)
-    return x.select("event_id", calendar.is_daytime(F.col("submitted")).alias("daytime"), F.unix_timestamp(calendar.next_day_start(F.col("submitted"))).alias("next_start"))
+    x = boundaries.with_day_starts(b.moments(s, d).select("event_id", "submitted"), "submitted")
+    return x.select("event_id", "daytime", F.unix_timestamp("next_day_start").alias("next_start"))
 
 
 @query("SELECT event_id, EXISTS (SELECT 1 FROM work w, (VALUES (9), (19)) e(h) WHERE w.working AND w.day + to_hours(e.h) > m.start AND w.day + to_hours(e.h) < m.\"end\" AND NOT (e.h = 19 AND w.day = CAST(m.submitted AS DATE) AND hour(m.submitted) >= 17)) AS crosses FROM moments m", _EASTER, MOMENTS)

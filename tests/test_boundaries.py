@@ -54,3 +54,14 @@ def test_jobs_of_any_length(spark):
 def test_no_days_are_listed_by_job(spark):
     plan = boundaries.crossings(spark.createDataFrame(jobs(2, 20), SCHEMA))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("sequence(") <= 3 and "exists(" not in plan  # the index alone
+
+
+def test_day_starts_by_lookup_equal_the_functions(spark):
+    from corpusloom.functions import calendar
+    from corpusloom.operators.boundaries import with_day_starts
+
+    rows = spark.range(0, 9000).selectExpr("id", "CASE WHEN id % 50 > 0 THEN timestamp_seconds(1703000000 + id * 4321) END AS at")
+    want = rows.select("id", calendar.is_daytime(F.col("at")).alias("daytime"), calendar.next_day_start(F.col("at")).alias("next_day_start"))
+    got = with_day_starts(rows, "at").select("id", "daytime", "next_day_start")
+    assert sorted(got.collect(), key=lambda r: r.id) == sorted(want.collect(), key=lambda r: r.id)
+    assert with_day_starts(rows.filter("at IS NULL"), "at").filter("daytime IS NULL AND next_day_start IS NULL").count() == 180
