@@ -882,6 +882,8 @@ def levelled_resolution(s, d):
     """Eight batches, in two runs, into levels of runs; the rows carry their own keys here."""
     root = shared_folder(s, "levels")
     rows = b.parts(s, d).select("text_sha256", "raw_output", "truncated", "part_key", "row_index")
+    rows.write.option("compression", "zstd").parquet(f"{root}/rows")
+    rows = s.read.parquet(f"{root}/rows")
     store = resolution.ResolutionStore(s, f"{root}/store", buckets=4, fanout=3)
     for half in (0, 1):
         rows.filter(F.pmod(F.xxhash64("text_sha256", "row_index"), F.lit(2)) == half).repartition(4).write.mode("append").parquet(f"{root}/in")
@@ -896,10 +898,10 @@ def grown_plan(s, d):
     root = shared_folder(s, "plan")
     builder = plan_builder.PlanBuilder(s, root, CHUNK, F.lit(FINGERPRINT))
     unique = planning.unique_texts(b.sentences(s, d)).select("text_sha256", "file_idx", F.length("text").alias("prompt_tokens"), F.lit(0).alias("ord_rank"), F.col("file_idx").alias("ord_file"))
-    last = b.files(s, d).agg(F.max("file_idx")).first()[0] or 0
-    for k in range(3):
     unique.write.option("compression", "zstd").parquet(f"{root}/unique")
     unique = s.read.parquet(f"{root}/unique")  # each append reads its files' texts several times
+    last = b.files(s, d).agg(F.max("file_idx")).first()[0] or 0
+    for k in range(3):
         builder.append(unique.filter((F.col("file_idx") * 3 >= k * (last + 1)) & (F.col("file_idx") * 3 < (k + 1) * (last + 1))), k)
         builder.emit(final=k == 2, per=100)
     return planning.plan_lines(builder.emitted())

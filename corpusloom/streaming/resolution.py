@@ -96,7 +96,8 @@ class ResolutionStore:
         """A new run. Its number isn't used again, even if this is broken off and done again under the same one: it is then overwritten."""
         state.made += 1
         name = f"{state.made:09d}"
-        first = self._first(rows).repartition(self.buckets, "bucket")
+        # A bucket grows with the store, so a large one is split over tasks and files; a small one is one file.
+        first = self._first(rows).hint("rebalance", "bucket")
         first.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{self.root}/runs/run={name}")
         return name
 

@@ -91,3 +91,14 @@ def test_catching_up_reads_only_what_is_new(spark, tmp_path):
     made = store.levels().made
     assert found(catch_up(store, parts, SCHEMA, check)) == found(whole()) and store.levels().made == made  # nothing new: nothing written
     assert store.verdicts().filter(F.col("text_sha256").isNull()).count() == 0
+
+
+def test_a_large_bucket_is_split_over_files(spark, tmp_path):
+    from corpusloom.session import configured
+
+    rows = spark.range(20_000).selectExpr("sha2(cast(id AS string), 256) AS text_sha256", "'</think>yes' AS raw_output", "false AS truncated", "'p' AS part_key", "id AS row_index").repartition(4)
+    with configured(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        store = ResolutionStore(spark, str(tmp_path / "s"), buckets=1)
+        store.add(rows, 0)
+    assert len(list((tmp_path / "s").rglob("*.parquet"))) > 1
+    assert store.verdicts().filter("decision = 'yes'").count() == 20_000
