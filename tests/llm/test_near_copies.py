@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from corpusloom.llm import near_copies as module
 from corpusloom.llm.near_copies import FAR, BITS, TABLES, _across, _may_be_similar, _prints, _proposed, marks, near_copy_groups, one_of_each_group, wide_print
 from corpusloom.llm.simhash import shingles
 from tests.llm.helpers import F, documents, rows
@@ -111,3 +112,22 @@ def test_texts_that_are_alike_but_not_similar_make_no_rows(spark):
     assert _proposed(unproven, 120, _across, 1 << 18).count() > 1000
     got = {(r.v, r.u) for r in _proposed(nodes, 120, _across, 1 << 18).collect()}
     assert len(got) < 400 and len(set(brute(texts)[1]) - got) <= 1  # a pair at the limit is proposed with probability 0.9998
+
+
+def test_a_large_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    """Variants of a text with one to three edits: four in all are similar, five are not. The first comparison, which leaves some of a large group apart, is left out."""
+    rng = random.Random(12)
+    words, texts, n = say(rng, 200), [], 150
+    for i in range(n):
+        copy = list(words)
+        for at in rng.sample(range(5, 195, 6), rng.choice([1, 2, 3])):
+            copy[at] = f"x{i}y{at}"
+        texts.append(" ".join(copy))
+    tables, staged, verified = {}, module.staged, module._verified
+    monkeypatch.setattr(module, "_verified", lambda *a: verified(*a).filter(F.lit(a[-1] != "near")))
+    monkeypatch.setattr(module, "staged", lambda df, name: tables.update({name: staged(df, name)}) or tables[name])
+    want, links = brute(texts)
+    assert len(links) > 5000 and set(want) == {0}
+    assert {r.component_id for r in near_copy_groups(documents(spark, list(enumerate(texts)))).collect()} == {0}
+    pairs = tables["near-more-near"].count() if "near-more-near" in tables else 0
+    assert pairs < n, pairs
