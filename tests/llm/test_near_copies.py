@@ -131,3 +131,61 @@ def test_a_large_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
     assert near_copy_groups(documents(spark, list(enumerate(texts)))).count() == n  # links of the first comparison aren't found again
     pairs = tables["near-more-near"].count() if "near-more-near" in tables else 0
     assert pairs < 10 * n, pairs
+
+
+def test_short_pairs_at_the_limit_are_linked(spark):
+    """Texts of nine words and the same without the last: 4 of 5 shingles. Of the fingerprints' tries, which proposed 0.94 of them, many were lost."""
+    rng, texts = random.Random(14), []
+    for k in range(400):
+        words = [f"v{k}x{rng.randrange(1 << 30)}" for _ in range(9)]
+        texts += [" ".join(words), " ".join(words[:-1])]
+    linked = near_copy_groups(documents(spark, list(enumerate(texts)))).filter("doc_id % 2 = 1 and component_id = doc_id - 1").count()
+    assert linked >= 398, linked
+
+
+def unrooted(spark, texts):
+    return _prints(documents(spark, list(enumerate(texts)))).withColumn("u", F.col("doc_id")).withColumn("root", F.col("doc_id")).drop("doc_id", "k1", "k2")
+
+
+def test_a_text_moves_in_as_many_rows_however_many_there_are(spark, monkeypatch):
+    """It was dealt out in four times as many rows once there were more texts than a block holds."""
+    rng, n, grouped, dealt = random.Random(13), 60, [], []
+    nodes = unrooted(spark, [" ".join(say(rng, 60)) for _ in range(n)])
+    kind, group_by = type(nodes), type(nodes).groupBy
+    monkeypatch.setattr(kind, "groupBy", lambda self, *by: grouped.append(self) or group_by(self, *by))
+    for per_block in (1 << 18, 8):
+        grouped.clear()
+        _proposed(nodes, n, _across, per_block).count()
+        dealt.append(max(df.count() for df in list(grouped)))
+    assert dealt[0] == dealt[1] <= 64 * n, dealt
+
+
+def test_links_connect_what_pairs_connect(spark):
+    rng = random.Random(15)
+    words, texts = say(rng, 150), []
+    for i in range(90):
+        copy = list(words)
+        for at in rng.sample(range(5, 145, 6), rng.choice([1, 2, 3])):
+            copy[at] = f"x{i}y{at}"
+        texts.append(" ".join(copy))
+    nodes = unrooted(spark, texts)
+
+    def roots(pairs):
+        root = list(range(len(texts)))
+        for i, j in pairs:
+            root = [min(root[i], root[j]) if x in (root[i], root[j]) else x for x in root]
+        return root
+
+    pairs = [{(r.u, r.v) for r in _proposed(nodes, len(texts), task, per_block).collect()} for task in (_across, module._linking) for per_block in (1 << 18, 16)]
+    assert pairs[0] == pairs[1] and len(pairs[0]) > 1000  # parts of buckets leave no pair out
+    assert roots(pairs[0]) == roots(pairs[2]) == roots(pairs[3]) and len(pairs[2]) < 200
+
+
+def test_words_are_hashed_alike_wherever_they_stand():
+    words = [b"a", b"B", b"ab", b"ba", b"\xc3\xa9", b"\x00", b"y" * 70_000, b"y" * 70_001, b"z" * 10]
+    alone = [module._word_hashes(w)[0] for w in words]
+    assert len(set(alone)) == len(words)
+    assert module._word_hashes(b"  " + b"\t\n".join(words * 3).upper()).tolist() == alone * 3
+    many = [b"%d" % i for i in range(40_000)]
+    assert len(np.unique(module._word_hashes(b" ".join(many)))) == len(many)
+    assert len(module.shingle_set(b" ".join(many + many))) == len(many) and len(module.shingle_set(b" \n")) == 0
