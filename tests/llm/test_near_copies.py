@@ -189,3 +189,13 @@ def test_words_are_hashed_alike_wherever_they_stand():
     many = [b"%d" % i for i in range(40_000)]
     assert len(np.unique(module._word_hashes(b" ".join(many)))) == len(many)
     assert len(module.shingle_set(b" ".join(many + many))) == len(many) and len(module.shingle_set(b" \n")) == 0
+
+
+def test_texts_that_are_not_asked_for_do_not_move(spark, monkeypatch):
+    texts = module._keyed(documents(spark, [(i, f"text {i}") for i in range(5000)])).drop("doc_id")
+    keys = texts.filter(F.substring("text", -2, 2) == "07").select("k1", "k2")
+    got = {r.text for r in module._among(texts, keys).collect()}
+    assert {f"text {i}" for i in range(107, 5000, 100)} <= got and len(got) < 600
+    assert module._among(texts, keys.filter("false")).count() < 5000
+    monkeypatch.setattr(module, "MOST_KEYS", 48)
+    assert module._among(texts, keys).count() == 5000
